@@ -58,6 +58,7 @@ def queries() -> dict[str, Query]:
         outbound_calls,
         agent_score,
         css_report,
+        css_report_closed_dates,
         activity_time,
         labor_time,
         split30_all,
@@ -194,6 +195,12 @@ def css_report(spark: SparkSession, folder: str) -> DataFrame:
     return retention_plan.css_report(standins.call_detail(spark, folder), RETENTION_END)
 
 
+def css_report_closed_dates(spark: SparkSession, folder: str) -> DataFrame:
+    windows = month_windows(RETENTION_END, closed_dates=True)
+    calls = standins.call_detail(spark, folder)
+    return retention_plan.css_report(calls, RETENTION_END, windows)
+
+
 # Daily performance.
 
 

@@ -155,6 +155,28 @@ STEPS = {
                      COUNT(*) FILTER (WHERE TerpScore >= 2) AS rated
               FROM terp_scores GROUP BY AgentID)
         JOIN outbound USING (AgentID)""",
+    # The same report with months that end at midnight of their last day.
+    "closed_calls": """
+        SELECT OperatorID, UserID_Caller,
+               timeWait BETWEEN TIMESTAMP '1998-05-01' AND TIMESTAMP '1998-05-31' AS is_current,
+               timeWait BETWEEN TIMESTAMP '1998-04-01' AND TIMESTAMP '1998-04-30' AS is_prior
+        FROM call_detail
+        WHERE Outbound = 1 AND isReport = 1 AND UserID_Caller > 1
+          AND timeWait BETWEEN TIMESTAMP '1998-04-01' AND TIMESTAMP '1998-05-31'""",
+    "closed_scores": """
+        SELECT UserID_Caller, CASE WHEN prior_calls = 0 THEN 0
+                                   WHEN current_calls * 100 >= prior_calls * 95 THEN 3
+                                   ELSE 2 END AS points
+        FROM (SELECT UserID_Caller, COUNT(*) FILTER (WHERE is_current) AS current_calls,
+                     COUNT(*) FILTER (WHERE is_prior) AS prior_calls
+              FROM closed_calls GROUP BY UserID_Caller)""",
+    "closed_pairs": """
+        SELECT OperatorID, UserID_Caller, COUNT(*) FILTER (WHERE is_current) AS current_calls
+        FROM closed_calls WHERE OperatorID IS NOT NULL GROUP BY ALL""",
+    "closed_agents": """
+        SELECT OperatorID, SUM(current_calls) AS calls, SUM(points) AS points,
+               3 * COUNT(*) FILTER (WHERE points >= 2) AS best
+        FROM closed_pairs JOIN closed_scores USING (UserID_Caller) GROUP BY OperatorID""",
     # Views.
     "activity": f"""
         SELECT OperatorID, CallCenterCode, "Date" AS Activity_Date,
@@ -329,6 +351,13 @@ FINAL = {
                OutboundCalls, CAST(TerpUserScore AS BIGINT) AS TerpUserScore, PerfectScore,
                VIScore
         FROM agent_scores WHERE AgentID IS NOT NULL ORDER BY AgentID""",
+    "css_report_closed_dates": """
+        SELECT DATE '1998-04-01' AS StartDate, TIMESTAMP '1998-06-30' AS EndDate,
+               OperatorID AS AgentID, CAST(calls AS BIGINT) AS OutboundCalls,
+               CAST(points AS BIGINT) AS TerpUserScore, best AS PerfectScore,
+               CAST(CAST(CAST(points AS DOUBLE) / CASE best WHEN 0 THEN 1 ELSE best END
+                    AS DECIMAL(15,10)) AS DOUBLE) AS VIScore
+        FROM closed_agents WHERE calls > 0 ORDER BY AgentID""",
     "session_minutes": f"SELECT {KEYS}, {doubles(SESSION_MINS)} FROM session_days",
     "bucket_calls": f"""
         SELECT {KEYS}, {doubles(measures("ConvoTime_Mins") + measures("SessionTime_Mins"))}

@@ -26,7 +26,7 @@ def as_time(value: When) -> Column:
 
 def as_day(value: When) -> Column:
     """A parameter or column as ``date`` (the time of day is dropped)."""
-    if isinstance(value, str):
+    if isinstance(value, str | datetime):
         # Text may carry a time of day; read it all, then drop that part.
         return as_time(value).cast("date")
     return _column(value).cast("date")
@@ -79,7 +79,12 @@ def months_between(earlier: When, later: When) -> Column:
 
 
 def _column(value: When) -> Column:
-    return value if isinstance(value, Column) else F.lit(value)
+    if isinstance(value, Column):
+        return value
+    if isinstance(value, datetime):
+        # A datetime literal would be moved between time zones; its text is not.
+        return F.lit(value.replace(tzinfo=None).isoformat(" "))
+    return F.lit(value)
 
 
 def _days_between(a: Column, b: Column) -> Column:

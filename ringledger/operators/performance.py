@@ -237,7 +237,7 @@ def operator_performance(days: DataFrame, daily: DataFrame, report: Window) -> D
     A ratio is 0 where the row itself has no labour in that bucket.
     """
     shown = [
-        f"if({measure_name(bucket, LABOR)} = 0, 0, {name}) as {name}"
+        f"cast(if({measure_name(bucket, LABOR)} = 0, 0, {name}) as {RATIO}) as {name}"
         for name, bucket in RATIOS.items()
     ]
     return with_labor(days, report).join(daily, "rptDate").selectExpr(*days.columns, *shown)

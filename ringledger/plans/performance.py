@@ -51,4 +51,6 @@ def performance_report(sources: PerformanceSources, report: Window) -> DataFrame
     """Operator-days with labour, with the day's enterprise ratios, in report order."""
     days = operator_days(sources, report)
     daily = steps.enterprise_ratio(days, report)
-    return steps.operator_performance(days, daily, report).orderBy("CallCenterCode", "rptDate")
+    performance = steps.operator_performance(days, daily, report)
+    # Operator and employee row let the sort split a centre's day.
+    return performance.orderBy("CallCenterCode", "rptDate", "OperatorID", "Emp_RowNum")

@@ -10,6 +10,9 @@ from ringledger.operators import problems as steps
 from ringledger.operators.windows import DayRange
 
 
+ORDER = ["DateCreated", "ProblemReportID", "csOprSessionID", "SessionID", "UserID_Caller"]
+
+
 @dataclass(frozen=True)
 class ProblemSources:
     """Source tables of the report."""
@@ -33,10 +36,11 @@ def csc_report(
 ) -> DataFrame:
     """Both kinds of match, each result row once, in order of creation.
 
-    A report matched both ways is listed twice: with its caller and without.
+    A report matched both ways is listed twice: with its caller and without. The
+    further sort columns let the sort split reports created at the same moment.
     """
     problems = steps.reported_problems(sources.reports, sources.categories, days)
     calls = candidate_calls(sources, days, company)
     through_xref = steps.csc_session_match(problems, sources.xref, calls, days)
     direct = steps.csc_direct_match(problems, calls, days)
-    return through_xref.unionByName(direct).distinct().orderBy("DateCreated")
+    return through_xref.unionByName(direct).distinct().orderBy(*ORDER)

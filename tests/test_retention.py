@@ -1,0 +1,170 @@
+from __future__ import annotations
+
+import random
+from collections import defaultdict
+from dataclasses import replace
+from datetime import timedelta
+
+import pytest
+from pyspark.sql import functions as F
+
+from ringledger.operators.retention import agent_score, outbound_calls, terp_score, user_score
+from ringledger.operators.windows import Window, month_windows
+from ringledger.plans.retention import css_report
+from tests.conftest import at, physical_plan, pushed_filters
+
+END = "2024-05-31"
+APRIL, MAY = "2024-04-10", "2024-05-10"
+
+
+def calls_of(table, placed):
+    """Countable calls from (operator, caller, time, how many)."""
+    rows = []
+    for operator, caller, time, count in placed:
+        rows += [
+            {"OperatorID": operator, "UserID_Caller": caller, "timeWait": at(time),
+             "Outbound": 1, "isReport": 1}
+        ] * count
+    return table("CALL_DETAIL", rows)
+
+
+@pytest.mark.parametrize(
+    "prior, current, score",
+    [
+        (0, 5, 0),
+        (20, 19, 3),  # growth of exactly -5 %
+        (20, 18, 2),
+        (100, 95, 3),
+        (100, 94, 2),
+        (1, 0, 2),
+        (3, 3, 3),
+        (1, 9, 3),
+    ],
+)
+def test_score(table, prior, current, score):
+    calls = calls_of(table, [(1, 7, APRIL, prior), (1, 7, MAY, current)])
+    row = user_score(calls, month_windows(END)).collect()[0]
+    assert (row.UserID, row.PriorMonth1, row.PriorMonth2) == (7, current, prior)
+    assert row.UserScore == score
+
+
+def test_only_countable_calls(table):
+    base = {"OperatorID": 1, "UserID_Caller": 7, "timeWait": at(MAY), "Outbound": 1, "isReport": 1}
+    rows = [
+        base,
+        {**base, "Outbound": 0},
+        {**base, "isReport": 0},
+        {**base, "UserID_Caller": 1},
+        {**base, "UserID_Caller": None},
+        {**base, "timeWait": None},
+        {**base, "timeWait": at("2024-06-01")},
+        {**base, "timeWait": at("2024-03-31 23:59:59")},
+        {**base, "timeWait": at("2024-05-31 23:59:59")},
+    ]
+    calls = table("CALL_DETAIL", rows)
+    report = css_report(calls, END).collect()
+    assert [(r.AgentID, r.OutboundCalls) for r in report] == [(1, 2)]
+
+
+def test_agents_are_listed_only_with_current_calls(table):
+    calls = calls_of(table, [(1, 7, APRIL, 2), (2, 7, MAY, 2), (None, 7, MAY, 5)])
+    report = css_report(calls, END).collect()
+    assert [(r.AgentID, r.OutboundCalls, r.TerpUserScore) for r in report] == [(2, 2, 3)]
+
+
+def test_an_agent_without_rated_callers_has_ratio_zero(table):
+    row = css_report(calls_of(table, [(1, 7, MAY, 2)]), END).collect()[0]
+    assert (row.TerpUserScore, row.PerfectScore, row.VIScore) == (0, 0, 0.0)
+    assert str(row.StartDate) == "2024-04-01"
+    assert row.EndDate == at("2024-06-30")
+
+
+def random_calls(seed):
+    """Calls in which one caller and one operator each hold about a third."""
+    rnd = random.Random(seed)
+    rows = []
+    for _ in range(4000):
+        operator = 1 if rnd.random() < 0.35 else rnd.choice([None, *range(2, 40)])
+        caller = 9 if rnd.random() < 0.35 else rnd.randrange(0, 60)
+        time = at("2024-03-20") + timedelta(minutes=rnd.randrange(90 * 1440))
+        rows.append(
+            {"OperatorID": operator, "UserID_Caller": caller, "timeWait": time,
+             "Outbound": int(rnd.random() < 0.9), "isReport": int(rnd.random() < 0.9)}
+        )
+    return rows
+
+
+def expected_report(rows):
+    months = defaultdict(lambda: [0, 0])
+    pairs, outbound = set(), defaultdict(int)
+    for row in rows:
+        if not (row["Outbound"] and row["isReport"] and row["UserID_Caller"] > 1):
+            continue
+        month = row["timeWait"].month
+        if month not in (4, 5):
+            continue
+        months[row["UserID_Caller"]][month - 4] += 1
+        pairs.add((row["OperatorID"], row["UserID_Caller"]))
+        if month == 5:
+            outbound[row["OperatorID"]] += 1
+    score = {}
+    for caller, (prior, current) in months.items():
+        score[caller] = 0 if not prior else 3 if (current - prior) / prior >= -0.05 else 2
+    result = []
+    for operator in sorted(o for o in outbound if o is not None):
+        points = [score[caller] for o, caller in pairs if o == operator]
+        best = 3 * sum(p in (2, 3) for p in points)
+        result.append((operator, outbound[operator], sum(points), best,
+                       round(sum(points) / (best or 1), 10)))
+    return result
+
+
+@pytest.mark.parametrize("broadcast", ["10MB", "-1"])
+def test_report_equals_brute_force_and_the_chained_steps(table, conf, broadcast):
+    conf("spark.sql.autoBroadcastJoinThreshold", broadcast)
+    rows = random_calls(5)
+    calls, windows = table("CALL_DETAIL", rows), month_windows(END)
+    columns = ["AgentID", "OutboundCalls", "TerpUserScore", "PerfectScore", "VIScore"]
+    report = [tuple(r) for r in css_report(calls, END).select(columns).collect()]
+    assert report == expected_report(rows)
+
+    pairs = terp_score(calls, user_score(calls, windows), windows)
+    chained = agent_score(pairs, outbound_calls(calls, windows.current))
+    assert [tuple(r) for r in chained.select(columns).orderBy("AgentID").collect()] == report
+
+
+def test_windows_can_be_overridden(table):
+    rows = random_calls(6)
+    calls = table("CALL_DETAIL", rows)
+    windows = month_windows(END)
+    # The overall window leaves out the end of May, whose calls still count as outbound.
+    short = Window(windows.overall.start, F.lit("2024-05-20").cast("timestamp_ntz"))
+    windows = replace(windows, overall=short)
+    columns = ["AgentID", "OutboundCalls", "TerpUserScore", "PerfectScore", "VIScore"]
+    report = css_report(calls, END, windows).select(columns)
+    pairs = terp_score(calls, user_score(calls, windows), windows)
+    chained = agent_score(pairs, outbound_calls(calls, windows.current))
+    assert report.collect() == chained.select(columns).orderBy("AgentID").collect()
+    assert report.agg(F.sum("OutboundCalls")).first()[0] > 0
+
+
+def test_calls_are_scanned_once(spark, table, tmp_path):
+    path = str(tmp_path / "calls")
+    table("CALL_DETAIL", random_calls(7)).write.parquet(path)
+    report = css_report(spark.read.parquet(path), END)
+    report.collect()
+    final = physical_plan(report).split("Initial Plan")[0]
+    assert final.count("FileScan") == 1
+    assert "ReusedExchange" in final
+
+
+def test_window_bounds_reach_the_scan(spark, table, tmp_path):
+    path = str(tmp_path / "calls")
+    table("CALL_DETAIL", random_calls(7)).write.parquet(path)
+    calls, windows = spark.read.parquet(path), month_windows(END)
+    for df in (css_report(calls, END), user_score(calls, windows),
+               outbound_calls(calls, windows.current)):
+        for pushed in pushed_filters(df):
+            assert "GreaterThanOrEqual(timeWait,2024-0" in pushed
+            assert "LessThan(timeWait,2024-06-01" in pushed
+            assert "EqualTo(Outbound,1)" in pushed
