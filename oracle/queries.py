@@ -108,21 +108,6 @@ def shown_ratios() -> str:
 
 RATIO_NAMES = [f"{name}_ConvoPctVSEnt" for name in RATIO_BUCKETS]
 
-CALL_SHARED = """
-    CAST(Handoff_time AS DATE) AS Handoff_Date, Interval_Time, CallID, First_Interval,
-    Last_Interval, SessionID, ConvoID, RLSA_ConvoID, Teaming, csOprSessionID, oclOprSessionID,
-    OperatorID, LocationCode, CenterID, Handoff_time, Abandon, LostAbandon, Answered, Incoming,
-    Outbound, isCoreHours, isNonCoreHours, is6to12Hours, is12to18Hours, isWeekdayHours,
-    isSaturdayHours, isSundayHours, isEnglishCall, IsSpanishCall, AbandonTime, AnsweredTime,
-    VI_AnswerTime, csoprAcceptTime, Branding, LANGUAGE, Call_Type, UserID_Caller,
-    Voice_PhoneNumber, DeviceID
-"""
-CALL_RELAY = """
-    SessionStart, SessionStart_RL, ConvoStart, ConvoEnd, SessionEnd_RL, SessionEnd,
-    SessionTime_Total, SessionTime, ConvoTime, RLSA_ConvoTime, BillableTime, PhoneNumber,
-    RLSA_Disp, RLSA_Disp_Reason
-"""
-
 # Steps of the reports, in an order that lets each refer to those before it.
 STEPS = {
     **SOURCES,
@@ -192,23 +177,28 @@ STEPS = {
                     WHEN TaskName IN ('VRI', 'Lunch') THEN 0 ELSE 1 END AS IsBenchmarkTask,
                {flags("adjShiftStart")}
         FROM schedule""",
-    "calls": f"""
-        SELECT 'VRS' AS CallData_Type, {CALL_SHARED}, {CALL_RELAY},
-               CAST(UserID_Caller AS VARCHAR) AS UserID_Caller_TDN FROM calls_vrs
+    "calls": """
+        SELECT *, 'VRS' AS CallData_Type, CAST(UserID_Caller AS VARCHAR) AS UserID_Caller_TDN,
+               CAST(Handoff_time AS DATE) AS Handoff_Date
+        FROM calls_vrs
         UNION ALL BY NAME
-        SELECT 'VRI' AS CallData_Type, {CALL_SHARED},
-               ConvoStart AS SessionStart, ConvoStart_RL AS SessionStart_RL,
-               ConvoStart_RL AS ConvoStart, ConvoEnd_RL AS ConvoEnd,
-               ConvoEnd_RL AS SessionEnd_RL, ConvoEnd AS SessionEnd,
+        SELECT * EXCLUDE (ConvoStart, ConvoStart_RL, ConvoEnd, ConvoEnd_RL, ConvoTime,
+                          r_ConvoTime, Video_PhoneNumber),
+               'VRI' AS CallData_Type, CAST(UserID_Caller AS VARCHAR) AS UserID_Caller_TDN,
+               CAST(Handoff_time AS DATE) AS Handoff_Date,
                ConvoTime AS SessionTime_Total, r_ConvoTime AS SessionTime,
-               r_ConvoTime AS ConvoTime, CAST(NULL AS DOUBLE) AS RLSA_ConvoTime,
-               CAST(NULL AS DOUBLE) AS BillableTime, Video_PhoneNumber AS PhoneNumber,
-               'C' AS RLSA_Disp, 'VRI' AS RLSA_Disp_Reason,
-               CAST(UserID_Caller AS VARCHAR) AS UserID_Caller_TDN FROM calls_vri
+               r_ConvoTime AS ConvoTime,
+               ConvoStart AS SessionStart, ConvoEnd AS SessionEnd,
+               ConvoStart_RL AS SessionStart_RL, ConvoStart_RL AS ConvoStart,
+               ConvoEnd_RL AS SessionEnd_RL, ConvoEnd_RL AS ConvoEnd,
+               Video_PhoneNumber AS PhoneNumber, 'VRI' AS RLSA_Disp_Reason, 'C' AS RLSA_Disp,
+               CAST(NULL AS DOUBLE) AS BillableTime, CAST(NULL AS DOUBLE) AS RLSA_ConvoTime
+        FROM calls_vri
         UNION ALL BY NAME
-        SELECT 'ConvoRelay' AS CallData_Type, {CALL_SHARED}, {CALL_RELAY},
+        SELECT *, 'ConvoRelay' AS CallData_Type,
                CASE WHEN UserID_Caller < 1 AND PhoneNumber <> '' THEN 'tdn_' || PhoneNumber
-                    ELSE CAST(UserID_Caller AS VARCHAR) END AS UserID_Caller_TDN
+                    ELSE CAST(UserID_Caller AS VARCHAR) END AS UserID_Caller_TDN,
+               CAST(Handoff_time AS DATE) AS Handoff_Date
         FROM calls_relay""",
     # Daily performance.
     "session_days": f"""

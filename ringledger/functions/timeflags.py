@@ -38,8 +38,8 @@ def measure_name(bucket: str, measure: str) -> str:
     return f"{bucket}_{measure}"
 
 
-def time_flags(moment: str) -> list[str]:
-    """SQL for seven 0/1 columns of a time column. A null time gives all zeros.
+def time_flag_rules(moment: str) -> dict[str, str]:
+    """Seven 0/1 columns of a time column, as SQL by name. A null time gives all zeros.
 
     ``dayofweek`` is 1 on Sunday and 7 on Saturday in every locale.
     """
@@ -53,7 +53,11 @@ def time_flags(moment: str) -> list[str]:
         "isSaturdayHours": f"{day} = 7",
         "isSundayHours": f"{day} = 1",
     }
-    return [f"{flag(rule)} as {name}" for name, rule in rules.items()]
+    return {name: flag(rule) for name, rule in rules.items()}
+
+
+def time_flags(moment: str) -> list[str]:
+    return [f"{sql} as {name}" for name, sql in time_flag_rules(moment).items()]
 
 
 def flag(condition: str) -> str:

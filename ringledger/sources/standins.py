@@ -9,9 +9,19 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ringledger.functions.timeflags import flag, time_flags
+from ringledger.functions.timeflags import flag, time_flag_rules
 from ringledger.sources import schemas
-from ringledger.sources.tables import typed
+
+# Columns in use of each test table.
+TEST_TABLES = {
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, "
+    "value double, props string",
+    "lineitem": "l_orderkey bigint, l_suppkey bigint, l_returnflag string, l_linestatus string",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderdate timestamp_ntz",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int",
+    "nation": "n_nationkey int",
+    "region": "r_regionkey int, r_name string",
+}
 
 OPERATOR = "user_id % 20"
 CENTER = "concat('C', user_id % 5)"
@@ -21,6 +31,9 @@ PHONE = f"case event_id % 3 when 0 then '' when 2 then concat('555', {NUMBER}) e
 MIDNIGHT = "cast(cast(ts as date) as timestamp_ntz)"
 HALF_HOUR = f"{MIDNIGHT} + make_dt_interval(0, hour(ts), minute(ts) - minute(ts) % 30)"
 WHOLE_SECOND = f"{MIDNIGHT} + make_dt_interval(0, hour(ts), minute(ts), second(ts))"
+ANSWERED = flag("event_id % 5 = 0")
+ABANDON = flag("event_id % 5 = 1")
+LATE_SESSION = "concat('S', (event_id + 20) div 40)"
 
 # The task name for each remainder of the event id by 9; 2 has none.
 TASKS = {
@@ -34,151 +47,193 @@ TASKS = {
     8: "Lunch",
 }
 
+# The columns that the three call tables share. Those without a stand-in are constant.
+SHARED_CALL = {
+    "Interval_Time": HALF_HOUR,
+    "CallID": NUMBER,
+    "First_Interval": "1",
+    "Last_Interval": "0",
+    "SessionID": f"concat('s', {NUMBER})",
+    "ConvoID": f"concat('c', {NUMBER})",
+    "RLSA_ConvoID": f"concat('r', {NUMBER})",
+    "Teaming": "0",
+    "csOprSessionID": LATE_SESSION,
+    "oclOprSessionID": f"concat('o', {NUMBER})",
+    "OperatorID": OPERATOR,
+    "LocationCode": CENTER,
+    "CenterID": "'Center'",
+    "Handoff_time": "ts",
+    "Abandon": ABANDON,
+    "LostAbandon": "0",
+    "Answered": ANSWERED,
+    "Incoming": "1",
+    "Outbound": "0",
+    **time_flag_rules("ts"),
+    "isEnglishCall": "1",
+    "IsSpanishCall": "0",
+    "AbandonTime": "null",
+    "AnsweredTime": "5",
+    "VI_AnswerTime": "6",
+    "csoprAcceptTime": "7",
+    "Branding": "'Brand'",
+    "LANGUAGE": "'EN'",
+    "Call_Type": "'Relay'",
+    "UserID_Caller": "user_id - 5",
+    "Voice_PhoneNumber": f"concat('556', {NUMBER})",
+    "DeviceID": f"concat('d', {NUMBER})",
+}
 
-# Columns in use of each test table.
-TEST_TABLES = {
-    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, "
-    "value double, props string",
-    "lineitem": "l_orderkey bigint, l_suppkey bigint, l_returnflag string, l_linestatus string",
-    "orders": "o_orderkey bigint, o_custkey bigint, o_orderdate timestamp_ntz",
-    "supplier": "s_suppkey bigint, s_name string, s_nationkey int",
-    "nation": "n_nationkey int",
-    "region": "r_regionkey int, r_name string",
+RELAY_CALL = {
+    **SHARED_CALL,
+    "SessionStart": "ts",
+    "SessionStart_RL": "ts + interval 1 second",
+    "ConvoStart": "ts + interval 2 second",
+    "ConvoEnd": "ts + interval 3 second",
+    "SessionEnd_RL": "ts + interval 4 second",
+    "SessionEnd": "ts + interval 5 second",
+    "SessionTime_Total": f"{VALUE} + event_id % 60 + 1",
+    "SessionTime": f"{VALUE} + event_id % 60",
+    "ConvoTime": VALUE,
+    "RLSA_ConvoTime": "1.5",
+    "BillableTime": VALUE,
+    "PhoneNumber": PHONE,
+    "RLSA_Disp": "'B'",
+    "RLSA_Disp_Reason": "'Reason'",
+}
+
+REMOTE_CALL = {
+    **SHARED_CALL,
+    "ConvoStart": "ts",
+    "ConvoStart_RL": "ts + interval 1 second",
+    "ConvoEnd": "ts + interval 4 second",
+    "ConvoEnd_RL": "ts + interval 3 second",
+    "ConvoTime": f"{VALUE} + event_id % 60",
+    "r_ConvoTime": VALUE,
+    "Video_PhoneNumber": PHONE,
 }
 
 
 def call_detail(spark: SparkSession, folder: str) -> DataFrame:
     lines = test_table(spark, folder, "lineitem")
     orders = test_table(spark, folder, "orders")
-    calls = lines.join(orders, lines.l_orderkey == orders.o_orderkey).selectExpr(
-        "l_suppkey as OperatorID",
-        "o_custkey % 150 as UserID_Caller",
-        "o_orderdate as timeWait",
-        f"{flag("l_returnflag = 'N'")} as Outbound",
-        f"{flag("l_linestatus = 'O'")} as isReport",
-    )
-    return typed(calls, schemas.CALL_DETAIL)
+    columns = {
+        "OperatorID": "l_suppkey",
+        "UserID_Caller": "o_custkey % 150",
+        "timeWait": "o_orderdate",
+        "Outbound": flag("l_returnflag = 'N'"),
+        "isReport": flag("l_linestatus = 'O'"),
+    }
+    joined = lines.join(orders, lines.l_orderkey == orders.o_orderkey)
+    return _shaped(joined, schemas.CALL_DETAIL, columns)
 
 
 def calls_vrs(spark: SparkSession, folder: str) -> DataFrame:
-    return _relay_calls(spark, folder, "click")
+    return _shaped(_events(spark, folder, "click"), schemas.RELAY_CALLS, RELAY_CALL)
 
 
-def calls_relay(spark: SparkSession, folder: str) -> DataFrame:
-    return _relay_calls(spark, folder, "purchase")
+def calls_vri(spark: SparkSession, folder: str) -> DataFrame:
+    return _shaped(_events(spark, folder, "view"), schemas.REMOTE_CALLS, REMOTE_CALL)
 
 
-def calls_vri(spark: SparkSession, folder: str) -> DataFrame:
-    calls = _events(spark, folder, "view").selectExpr(
-        *_half_hour_call(),
-        "ts as ConvoStart",
-        f"{_later(1)} as ConvoStart_RL",
-        f"{_later(4)} as ConvoEnd",
-        f"{_later(3)} as ConvoEnd_RL",
-        f"{VALUE} + event_id % 60 as ConvoTime",
-        f"{VALUE} as r_ConvoTime",
-        f"{PHONE} as Video_PhoneNumber",
-    )
-    return typed(calls, schemas.REMOTE_CALLS)
+def calls_relay(spark: SparkSession, folder: str) -> DataFrame:
+    return _shaped(_events(spark, folder, "purchase"), schemas.RELAY_CALLS, RELAY_CALL)
 
 
 def session_history(spark: SparkSession, folder: str) -> DataFrame:
-    sessions = _events(spark, folder, "signup", "click").selectExpr(
-        f"{OPERATOR} as OperatorID",
-        f"{CENTER} as CallCenterCode",
-        f"{MIDNIGHT} as Date",
-        f"{WHOLE_SECOND} as AdjStartTime",
-        f"{WHOLE_SECOND} + make_dt_interval(0, 0, 0, {VALUE}) as AdjEndTime",
-        "event_id % 7 as EntryType",
-        f"{VALUE} * 3 as LoginTime",
-        "event_id % 100 as TeamingTime",
-        "if(event_id % 10 = 0, null, event_id % 30) as BreakTime",
-    )
-    return typed(sessions, schemas.SESSION_HISTORY)
+    columns = {
+        "OperatorID": OPERATOR,
+        "CallCenterCode": CENTER,
+        "Date": MIDNIGHT,
+        "AdjStartTime": WHOLE_SECOND,
+        "AdjEndTime": f"{WHOLE_SECOND} + make_dt_interval(0, 0, 0, {VALUE})",
+        "EntryType": "event_id % 7",
+        "LoginTime": f"{VALUE} * 3",
+        "TeamingTime": "event_id % 100",
+        "BreakTime": "if(event_id % 10 = 0, null, event_id % 30)",
+    }
+    events = _events(spark, folder, "signup", "click")
+    return _shaped(events, schemas.SESSION_HISTORY, columns)
 
 
 def schedule(spark: SparkSession, folder: str) -> DataFrame:
     tasks = " ".join(f"when {n} then '{name}'" for n, name in TASKS.items())
-    shifts = _events(spark, folder, "signup", "view").selectExpr(
-        f"{MIDNIGHT} as Date",
-        f"{HALF_HOUR} as HlfHrStart",
-        f"{HALF_HOUR} as adjShiftStart",
-        f"{HALF_HOUR} + make_dt_interval(0, 0, 30) as adjShiftEnd",
-        f"{OPERATOR} as Emp_ID",
-        f"concat('Sched ', {OPERATOR}) as Employee_Name",
-        f"{CENTER} as Station_Name",
-        f"case event_id % 9 {tasks} end as TaskName",
-        "1800 as LaborTime",
-    )
-    return typed(shifts, schemas.SCHEDULE)
+    columns = {
+        "Date": MIDNIGHT,
+        "HlfHrStart": HALF_HOUR,
+        "adjShiftStart": HALF_HOUR,
+        "adjShiftEnd": f"{HALF_HOUR} + make_dt_interval(0, 0, 30)",
+        "Emp_ID": OPERATOR,
+        "Employee_Name": f"concat('Sched ', {OPERATOR})",
+        "Station_Name": CENTER,
+        "TaskName": f"case event_id % 9 {tasks} end",
+        "LaborTime": "1800",
+    }
+    return _shaped(_events(spark, folder, "signup", "view"), schemas.SCHEDULE, columns)
 
 
 def employees(spark: SparkSession, folder: str) -> DataFrame:
-    staff = test_table(spark, folder, "supplier").selectExpr(
-        "s_suppkey as ExternalID",
-        "s_name as EmployeeName",
-        "s_suppkey + 1000 as ADP_ID",
-        "concat('C', s_nationkey % 5) as DefaultLocation",
-        "if(s_suppkey % 2 = 0, 'Full', 'Part') as StaffType",
-        "if(s_suppkey % 3 = 0, 'ES', 'EN') as Language",
-        "date_add(date'2010-01-01', cast(s_suppkey * 37 as int)) as HireDate",
-        "null as TermDate",
-        "if(s_suppkey % 7 = 0, 'False', 'True') as Active",
-    )
-    return typed(staff, schemas.EMPLOYEES)
+    columns = {
+        "ExternalID": "s_suppkey",
+        "EmployeeName": "s_name",
+        "ADP_ID": "s_suppkey + 1000",
+        "DefaultLocation": "concat('C', s_nationkey % 5)",
+        "StaffType": "if(s_suppkey % 2 = 0, 'Full', 'Part')",
+        "Language": "if(s_suppkey % 3 = 0, 'ES', 'EN')",
+        "HireDate": "date_add(date'2010-01-01', cast(s_suppkey * 37 as int))",
+        "TermDate": "null",
+        "Active": "if(s_suppkey % 7 = 0, 'False', 'True')",
+    }
+    return _shaped(test_table(spark, folder, "supplier"), schemas.EMPLOYEES, columns)
 
 
 def problem_reports(spark: SparkSession, folder: str) -> DataFrame:
-    reports = _events(spark, folder, "error").selectExpr(
-        "event_id as ProblemReportID",
-        "concat('S', event_id div 40) as SessionID",
-        "event_id % 4 as ProblemReportCategoryID",
-        "props as ProblemReportData",
-        "if(event_id % 3 = 0, 'PR4000', 'PR1000') as ErrorCode",
-        "ts as DateCreated",
-    )
-    return typed(reports, schemas.PROBLEM_REPORTS)
+    columns = {
+        "ProblemReportID": "event_id",
+        "SessionID": "concat('S', event_id div 40)",
+        "ProblemReportCategoryID": "event_id % 4",
+        "ProblemReportData": "props",
+        "ErrorCode": "if(event_id % 3 = 0, 'PR4000', 'PR1000')",
+        "DateCreated": "ts",
+    }
+    return _shaped(_events(spark, folder, "error"), schemas.PROBLEM_REPORTS, columns)
 
 
 def problem_categories(spark: SparkSession, folder: str) -> DataFrame:
-    categories = test_table(spark, folder, "region").selectExpr(
-        "r_regionkey as ProblemReportCategoryID", "r_name as CategoryName"
-    )
-    return typed(categories, schemas.PROBLEM_CATEGORIES)
+    columns = {"ProblemReportCategoryID": "r_regionkey", "CategoryName": "r_name"}
+    return _shaped(test_table(spark, folder, "region"), schemas.PROBLEM_CATEGORIES, columns)
 
 
 def caption_calls(spark: SparkSession, folder: str) -> DataFrame:
-    calls = _events(spark, folder, "view").selectExpr(
-        "event_id as CallID",
-        "concat('S', (event_id + 20) div 40) as csOprSessionID",
-        "ts as Handoff_Time",
-        f"{OPERATOR} as OperatorID",
-        "case when event_id % 11 = 0 then '' when event_id % 13 = 0 then null "
-        f"else {CENTER} end as locationcode",
-        f"concat('555', {NUMBER}) as Caption_PhoneNumber_Clean",
-        f"concat('556', {NUMBER}) as Voice_PhoneNumber_Clean",
-        "event_type as Call_Type_Label",
-        "user_id as UserID_Caller",
-        f"{flag('event_id % 5 = 0')} as Answered",
-        f"{flag('event_id % 5 = 1')} as Abandon",
-    )
-    return typed(calls, schemas.CAPTION_CALLS)
+    columns = {
+        "CallID": NUMBER,
+        "csOprSessionID": LATE_SESSION,
+        "Handoff_Time": "ts",
+        "OperatorID": OPERATOR,
+        "locationcode": "case when event_id % 11 = 0 then '' when event_id % 13 = 0 then null "
+        f"else {CENTER} end",
+        "Caption_PhoneNumber_Clean": f"concat('555', {NUMBER})",
+        "Voice_PhoneNumber_Clean": f"concat('556', {NUMBER})",
+        "Call_Type_Label": "event_type",
+        "UserID_Caller": "user_id",
+        "Answered": ANSWERED,
+        "Abandon": ABANDON,
+    }
+    return _shaped(_events(spark, folder, "view"), schemas.CAPTION_CALLS, columns)
 
 
 def caption_xref(spark: SparkSession, folder: str) -> DataFrame:
-    links = _events(spark, folder, "view").selectExpr(
-        "event_id as CallID", "concat('S', event_id div 40) as SessionID"
-    )
-    return typed(links, schemas.CAPTION_XREF)
+    columns = {"CallID": NUMBER, "SessionID": "concat('S', event_id div 40)"}
+    return _shaped(_events(spark, folder, "view"), schemas.CAPTION_XREF, columns)
 
 
 def caption_intervals(spark: SparkSession, folder: str) -> DataFrame:
-    intervals = test_table(spark, folder, "nation").selectExpr(
-        "case when n_nationkey = 24 then '' when n_nationkey % 5 = 0 then 'Company A' "
-        "when n_nationkey % 5 <= 2 then 'Company B' else 'Company C' end as companyname",
-        "concat('C', n_nationkey % 5) as locationcode",
-    )
-    return typed(intervals, schemas.CAPTION_INTERVALS)
+    columns = {
+        "companyname": "case when n_nationkey = 24 then '' "
+        "when n_nationkey % 5 = 0 then 'Company A' "
+        "when n_nationkey % 5 <= 2 then 'Company B' else 'Company C' end",
+        "locationcode": "concat('C', n_nationkey % 5)",
+    }
+    return _shaped(test_table(spark, folder, "nation"), schemas.CAPTION_INTERVALS, columns)
 
 
 def test_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -191,64 +246,8 @@ def _events(spark: SparkSession, folder: str, *kinds: str) -> DataFrame:
     return events.where(events.event_type.isin(*kinds))
 
 
-def _relay_calls(spark: SparkSession, folder: str, kind: str) -> DataFrame:
-    calls = _events(spark, folder, kind).selectExpr(
-        *_half_hour_call(),
-        "ts as SessionStart",
-        f"{_later(1)} as SessionStart_RL",
-        f"{_later(2)} as ConvoStart",
-        f"{_later(3)} as ConvoEnd",
-        f"{_later(4)} as SessionEnd_RL",
-        f"{_later(5)} as SessionEnd",
-        f"{VALUE} + event_id % 60 + 1 as SessionTime_Total",
-        f"{VALUE} + event_id % 60 as SessionTime",
-        f"{VALUE} as ConvoTime",
-        "1.5 as RLSA_ConvoTime",
-        f"{VALUE} as BillableTime",
-        f"{PHONE} as PhoneNumber",
-        "'B' as RLSA_Disp",
-        "'Reason' as RLSA_Disp_Reason",
+def _shaped(df: DataFrame, schema: dict[str, str], columns: dict[str, str]) -> DataFrame:
+    """Select a SQL expression for each column of the schema, in its declared type."""
+    return df.selectExpr(
+        *[f"cast({columns[name]} as {kind}) as {name}" for name, kind in schema.items()]
     )
-    return typed(calls, schemas.RELAY_CALLS)
-
-
-def _half_hour_call() -> list[str]:
-    """Columns the three call tables share. Those without a stand-in are constant."""
-    return [
-        f"{HALF_HOUR} as Interval_Time",
-        f"{NUMBER} as CallID",
-        "1 as First_Interval",
-        "0 as Last_Interval",
-        f"concat('s', {NUMBER}) as SessionID",
-        f"concat('c', {NUMBER}) as ConvoID",
-        f"concat('r', {NUMBER}) as RLSA_ConvoID",
-        "0 as Teaming",
-        "concat('S', (event_id + 20) div 40) as csOprSessionID",
-        f"concat('o', {NUMBER}) as oclOprSessionID",
-        f"{OPERATOR} as OperatorID",
-        f"{CENTER} as LocationCode",
-        "'Center' as CenterID",
-        "ts as Handoff_time",
-        f"{flag('event_id % 5 = 1')} as Abandon",
-        "0 as LostAbandon",
-        f"{flag('event_id % 5 = 0')} as Answered",
-        "1 as Incoming",
-        "0 as Outbound",
-        *time_flags("ts"),
-        "1 as isEnglishCall",
-        "0 as IsSpanishCall",
-        "null as AbandonTime",
-        "5 as AnsweredTime",
-        "6 as VI_AnswerTime",
-        "7 as csoprAcceptTime",
-        "'Brand' as Branding",
-        "'EN' as LANGUAGE",
-        "'Relay' as Call_Type",
-        "user_id - 5 as UserID_Caller",
-        f"concat('556', {NUMBER}) as Voice_PhoneNumber",
-        f"concat('d', {NUMBER}) as DeviceID",
-    ]
-
-
-def _later(seconds: int) -> str:
-    return f"ts + interval {seconds} second"
