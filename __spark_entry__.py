@@ -67,6 +67,7 @@ def queries() -> dict[str, Query]:
         call_data,
         labor_hours,
         login_minutes,
+        operator_activity,
         employee_data,
         operator_day,
         enterprise_ratio,
@@ -259,6 +260,14 @@ def login_minutes(spark: SparkSession, folder: str) -> DataFrame:
     return performance.login_minutes(activity, resolve_range(*PERFORMANCE_DAYS))
 
 
+def operator_activity(spark: SparkSession, folder: str) -> DataFrame:
+    """Operator-days with login and labour, by the separate steps."""
+    logged_in = performance.with_login_minutes(
+        call_data(spark, folder), login_minutes(spark, folder)
+    )
+    return performance.with_labor_hours(logged_in, labor_hours(spark, folder))
+
+
 def employee_data(spark: SparkSession, folder: str) -> DataFrame:
     return performance.employee_data(
         call_data(spark, folder),

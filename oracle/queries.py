@@ -360,6 +360,10 @@ FINAL = {
         SELECT {KEYS}, OperatorName, {doubles(measures("LaborTime_Hours"))} FROM labor_days""",
     "login_minutes": f"""
         SELECT {KEYS}, {doubles(measures("ActivityTime_Mins"))} FROM login_days""",
+    "operator_activity": f"""
+        SELECT {KEYS}, OperatorName, {doubles(
+            SESSION_MINS + [name for measure in MEASURES for name in measures(measure)])}
+        FROM call_days LEFT JOIN login_days USING ({KEYS}) LEFT JOIN labor_days USING ({KEYS})""",
     "employee_data": """
         SELECT * EXCLUDE (YearTenure), CAST(YearTenure AS DOUBLE) AS YearTenure FROM staff""",
     "operator_day": f"""

@@ -28,6 +28,7 @@ from ringledger.functions.timeflags import (
     in_units,
     measure_name,
     or_zero,
+    time_flags,
 )
 from ringledger.operators.windows import Window
 
@@ -36,8 +37,8 @@ from ringledger.operators.windows import Window
 # shuffle partitioned alike and their joins need no further one.
 KEYS = ["CallCenterCode", "OperatorID", "Handoff_Date"]
 
-# Entry types of a session.
-BREAK, TEAMED, AVAILABLE = [2], [6], [1, 6]
+# The session minutes and the entry types each one counts.
+ENTRY_MINUTES = {"BreakMins": [2], "TeamedMins": [6], "AvailableMins": [1, 6]}
 
 # The report's buckets, in its column order.
 REPORT_BUCKETS = [
@@ -76,20 +77,33 @@ MINUTE, HOUR, YEAR = "60.0", "3600.0", "8766.0"
 
 def session_minutes(sessions: DataFrame, report: Window) -> DataFrame:
     """Break, teamed and available minutes per centre, operator and day."""
-    seconds = seconds_between(F.col("AdjStartTime"), F.col("AdjEndTime"))
+    return (
+        sessions.where(report.covers(F.col("Date")))
+        .groupBy(*_keys("CallCenterCode", "OperatorID", midnight(F.col("Date"))))
+        .agg(*_entry_minutes())
+    )
 
-    def minutes(types: list[int], name: str) -> Column:
-        total = F.sum(F.when(F.col("EntryType").isin(types), seconds).otherwise(0))
-        return (total / F.lit(Decimal(MINUTE))).cast(MINUTES).alias(name)
 
+def session_days(sessions: DataFrame, report: Window) -> DataFrame:
+    """``session_minutes`` and ``login_minutes`` in one pass over the sessions.
+
+    Login time counts on the day it is filed under, so an entry whose date carries a
+    time of day has none; it would not join a day either.
+    """
+    day = midnight(F.col("Date"))
+    worked = "if(on_day, LoginTime + TeamingTime - BreakTime, null)"
     return (
         sessions.where(report.covers(F.col("Date")))
-        .groupBy(*_keys("CallCenterCode", "OperatorID", midnight(F.col("Date"))))
-        .agg(
-            minutes(BREAK, "BreakMins"),
-            minutes(TEAMED, "TeamedMins"),
-            minutes(AVAILABLE, "AvailableMins"),
+        .select(
+            *_keys("CallCenterCode", "OperatorID", day),
+            (F.col("Date") == day).alias("on_day"),
+            *map(F.expr, ["EntryType", "AdjStartTime", "AdjEndTime"]),
+            *map(F.expr, ["LoginTime", "TeamingTime", "BreakTime"]),
+            *map(F.expr, time_flags("AdjStartTime")),
         )
+        .groupBy(*KEYS)
+        .agg(*_entry_minutes(), *bucket_sums(worked, ACTIVITY))
+        .selectExpr(*KEYS, *ENTRY_MINUTES, *in_units(ACTIVITY, MINUTE))
     )
 
 
@@ -156,9 +170,12 @@ def login_minutes(activity: DataFrame, report: Window) -> DataFrame:
     )
 
 
-def operator_activity(call_days: DataFrame, login: DataFrame, labor: DataFrame) -> DataFrame:
-    """Operator-days with calls and sessions, extended by login and labour."""
-    return call_days.join(login, KEYS, "left").join(labor, KEYS, "left")
+def with_login_minutes(call_days: DataFrame, login: DataFrame) -> DataFrame:
+    return call_days.join(login, KEYS, "left")
+
+
+def with_labor_hours(call_days: DataFrame, labor: DataFrame) -> DataFrame:
+    return call_days.join(labor, KEYS, "left")
 
 
 def employee_data(call_days: DataFrame, employees: DataFrame, end: When) -> DataFrame:
@@ -213,9 +230,7 @@ def operator_day(activity: DataFrame, staff: DataFrame, report: Window) -> DataF
                 "LanguageSkill",
                 "if(Active = 'False', null, HireDate) as HireDate",
                 "if(Active = 'False', 0, MnthsTenure) as MnthsTenure",
-                "BreakMins",
-                "TeamedMins",
-                "AvailableMins",
+                *ENTRY_MINUTES,
                 *[_measure(b, m) for b in REPORT_BUCKETS for m in REPORT_MEASURES],
             ],
         ),
@@ -248,6 +263,15 @@ def with_labor(days: DataFrame, report: Window) -> DataFrame:
     return days.where(in_range & (F.col(ALL_LABOR) > 0))
 
 
+def _entry_minutes() -> list[Column]:
+    seconds = seconds_between(F.col("AdjStartTime"), F.col("AdjEndTime"))
+    minutes = []
+    for name, types in ENTRY_MINUTES.items():
+        total = F.sum(F.when(F.col("EntryType").isin(types), seconds).otherwise(0))
+        minutes.append((total / F.lit(Decimal(MINUTE))).cast(MINUTES).alias(name))
+    return minutes
+
+
 def _keys(center: str, operator: str, day: Column) -> list[Column]:
     columns = [F.col(center), F.col(operator), day]
     return [column.alias(key) for column, key in zip(columns, KEYS)]

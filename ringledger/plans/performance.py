@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 
 from ringledger.functions.materialize import materialize
 from ringledger.operators import performance as steps
-from ringledger.operators.views import activity_time, labor_time, split30_all
+from ringledger.operators.views import labor_time, split30_all
 from ringledger.operators.windows import Window
 
 
@@ -24,12 +24,6 @@ class PerformanceSources:
     employees: DataFrame
 
 
-def call_days(sources: PerformanceSources, report: Window) -> DataFrame:
-    calls = split30_all(sources.vrs, sources.vri, sources.relay)
-    buckets = steps.bucket_calls(calls, report)
-    return steps.call_data(buckets, steps.session_minutes(sources.sessions, report))
-
-
 def operator_days(sources: PerformanceSources, report: Window) -> DataFrame:
     """The operator-day table, from the sources.
 
@@ -37,12 +31,13 @@ def operator_days(sources: PerformanceSources, report: Window) -> DataFrame:
     needs them twice. They are written once, so each source is scanned once. What is
     written has a row per operator and day, far below the size of the sources.
     """
-    activity = steps.operator_activity(
-        call_days(sources, report),
-        steps.login_minutes(activity_time(sources.sessions), report),
-        steps.labor_hours(labor_time(sources.schedule), report),
+    calls = split30_all(sources.vrs, sources.vri, sources.relay)
+    # One pass gives session and login minutes, and one join brings in both.
+    call_days = steps.call_data(
+        steps.bucket_calls(calls, report), steps.session_days(sources.sessions, report)
     )
-    activity = materialize(activity, "operator-activity")
+    labor = steps.labor_hours(labor_time(sources.schedule), report)
+    activity = materialize(steps.with_labor_hours(call_days, labor), "operator-activity")
     staff = steps.employee_data(activity, sources.employees, report.stop)
     return steps.operator_day(activity, staff, report)
 

@@ -266,33 +266,56 @@ def test_intermediates_go_to_the_shared_folder(spark):
     assert all(spark.conf.get("spark.checkpoint.dir") in f for f in df.inputFiles())
 
 
-def test_daily_joins_reuse_the_partitioning_of_the_aggregates(table, conf, week):
-    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
-    conf("spark.sql.adaptive.enabled", "false")
-    empty = sources(table)
+def daily_steps(empty, week):
     calls = empty.vrs.withColumn("Handoff_Date", F.to_date("Handoff_time"))
-    joined = steps.operator_activity(
-        steps.call_data(
-            steps.bucket_calls(calls, week), steps.session_minutes(empty.sessions, week)
-        ),
+    return (
+        steps.bucket_calls(calls, week),
+        steps.session_minutes(empty.sessions, week),
         steps.login_minutes(activity_time(empty.sessions), week),
         steps.labor_hours(labor_time(empty.schedule), week),
     )
-    plan = physical_plan(joined)
+
+
+def test_daily_joins_reuse_the_partitioning_of_the_aggregates(table, conf, week):
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    conf("spark.sql.adaptive.enabled", "false")
+    buckets, sessions, login, labor = daily_steps(sources(table), week)
+    joined = steps.with_login_minutes(steps.call_data(buckets, sessions), login)
+    plan = physical_plan(steps.with_labor_hours(joined, labor))
     # One shuffle per aggregate, two for labour, and none for the three joins.
     assert plan.count("Exchange hashpartitioning") == 5
     assert plan.count("SortMergeJoin") == 3
 
 
+def test_one_pass_over_sessions_equals_both_steps(table, week):
+    rows = []
+    for i in range(300):
+        kind, away = i % 7, None if i % 11 == 0 else i % 40
+        row = session(f"2024-01-{8 + i % 7:02d} {i % 24:02d}:{i % 60:02d}", i % 5, f"C{i % 2}",
+                      kind, 17 * i % 900, 30 * i, i, away)
+        rows.append(row)
+    sessions = table("SESSION_HISTORY", rows)
+    both = steps.session_minutes(sessions, week).join(
+        steps.login_minutes(activity_time(sessions), week), steps.KEYS
+    )
+    once = steps.session_days(sessions, week)
+    assert set(once.columns) == set(both.columns)
+    order = [c for c in both.columns]
+    assert once.select(order).orderBy(steps.KEYS).collect() == both.orderBy(steps.KEYS).collect()
+    assert once.count() > 30
+
+
+def test_entries_filed_at_a_time_of_day_have_no_login_time(table, week):
+    odd = session("2024-01-08 09:00") | {"Date": at("2024-01-08 05:00")}
+    row, = steps.session_days(table("SESSION_HISTORY", [odd]), week).collect()
+    assert row.AvailableMins == 2
+    assert row.AllDays_12to12_ActivityTime_Mins is None
+
+
 def test_large_aggregates_are_hash_aggregates(table, week):
     empty = sources(table)
-    calls = empty.vrs.withColumn("Handoff_Date", F.to_date("Handoff_time"))
-    for df in (
-        steps.bucket_calls(calls, week),
-        steps.session_minutes(empty.sessions, week),
-        steps.login_minutes(activity_time(empty.sessions), week),
-    ):
+    buckets, sessions, login, labor = daily_steps(empty, week)
+    for df in (buckets, sessions, login, steps.session_days(empty.sessions, week)):
         assert "SortAggregate" not in physical_plan(df)
-    labor = physical_plan(steps.labor_hours(labor_time(empty.schedule), week))
-    scan_side = labor[labor.rindex("SortAggregate"):]
-    assert "HashAggregate" in scan_side
+    plan = physical_plan(labor)
+    assert "HashAggregate" in plan[plan.rindex("SortAggregate"):]
