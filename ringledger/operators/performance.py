@@ -38,7 +38,7 @@ from ringledger.operators.windows import Window
 KEYS = ["CallCenterCode", "OperatorID", "Handoff_Date"]
 
 # The session minutes and the entry types each one counts.
-ENTRY_MINUTES = {"BreakMins": [2], "TeamedMins": [6], "AvailableMins": [1, 6]}
+ENTRY_MINUTES = {"BreakMins": "2", "TeamedMins": "6", "AvailableMins": "1, 6"}
 
 # The report's buckets, in its column order.
 REPORT_BUCKETS = [
@@ -78,9 +78,10 @@ MINUTE, HOUR, YEAR = "60.0", "3600.0", "8766.0"
 def session_minutes(sessions: DataFrame, report: Window) -> DataFrame:
     """Break, teamed and available minutes per centre, operator and day."""
     return (
-        sessions.where(report.covers(F.col("Date")))
-        .groupBy(*_keys("CallCenterCode", "OperatorID", midnight(F.col("Date"))))
-        .agg(*_entry_minutes())
+        _entries(sessions, report)
+        .groupBy(*KEYS)
+        .agg(*_entry_sums())
+        .selectExpr(*KEYS, *_entry_minutes())
     )
 
 
@@ -90,20 +91,12 @@ def session_days(sessions: DataFrame, report: Window) -> DataFrame:
     Login time counts on the day it is filed under, so an entry whose date carries a
     time of day has none; it would not join a day either.
     """
-    day = midnight(F.col("Date"))
-    worked = "if(on_day, LoginTime + TeamingTime - BreakTime, null)"
+    worked = "if(Date = Handoff_Date, LoginTime + TeamingTime - BreakTime, null)"
     return (
-        sessions.where(report.covers(F.col("Date")))
-        .select(
-            *_keys("CallCenterCode", "OperatorID", day),
-            (F.col("Date") == day).alias("on_day"),
-            *map(F.expr, ["EntryType", "AdjStartTime", "AdjEndTime"]),
-            *map(F.expr, ["LoginTime", "TeamingTime", "BreakTime"]),
-            *map(F.expr, time_flags("AdjStartTime")),
-        )
+        _entries(sessions, report)
         .groupBy(*KEYS)
-        .agg(*_entry_minutes(), *bucket_sums(worked, ACTIVITY))
-        .selectExpr(*KEYS, *ENTRY_MINUTES, *in_units(ACTIVITY, MINUTE))
+        .agg(*_entry_sums(), *bucket_sums(worked, ACTIVITY))
+        .selectExpr(*KEYS, *_entry_minutes(), *in_units(ACTIVITY, MINUTE))
     )
 
 
@@ -263,13 +256,25 @@ def with_labor(days: DataFrame, report: Window) -> DataFrame:
     return days.where(in_range & (F.col(ALL_LABOR) > 0))
 
 
-def _entry_minutes() -> list[Column]:
-    seconds = seconds_between(F.col("AdjStartTime"), F.col("AdjEndTime"))
-    minutes = []
-    for name, types in ENTRY_MINUTES.items():
-        total = F.sum(F.when(F.col("EntryType").isin(types), seconds).otherwise(0))
-        minutes.append((total / F.lit(Decimal(MINUTE))).cast(MINUTES).alias(name))
-    return minutes
+def _entries(sessions: DataFrame, report: Window) -> DataFrame:
+    """Session entries of the range with their day, length in seconds and time flags."""
+    columns = ["Date", "EntryType", "LoginTime", "TeamingTime", "BreakTime"]
+    return sessions.where(report.covers(F.col("Date"))).select(
+        *_keys("CallCenterCode", "OperatorID", midnight(F.col("Date"))),
+        seconds_between(F.col("AdjStartTime"), F.col("AdjEndTime")).alias("seconds"),
+        *map(F.expr, [*columns, *time_flags("AdjStartTime")]),
+    )
+
+
+def _entry_sums() -> list[Column]:
+    return [
+        F.expr(f"sum(if(EntryType in ({types}), seconds, 0)) as {name}")
+        for name, types in ENTRY_MINUTES.items()
+    ]
+
+
+def _entry_minutes() -> list[str]:
+    return [f"cast({name} / {MINUTE} as {MINUTES}) as {name}" for name in ENTRY_MINUTES]
 
 
 def _keys(center: str, operator: str, day: Column) -> list[Column]:
