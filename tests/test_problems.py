@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+import re
 from datetime import timedelta
 
 import pytest
@@ -232,7 +233,10 @@ def test_hot_keys_are_split(spark, table, conf, days):
     rows = match.groupBy("ErrorCode").count()
     rows.collect()
     final = physical_plan(rows).split("Initial Plan")[0]
-    assert "skew=true" in final
+    split = re.findall(r"SortMergeJoin\(skew=true\) \[(\w+)#\d+\], \[\w+#\d+\], (\w+)", final)
+    assert ("CallID", "Inner") in split
+    assert ("SessionID", "Inner") in split
+    assert ("SessionID", "LeftSemi") in split
 
 
 def test_the_slice_and_codes_reach_the_scan(spark, table, tmp_path, days):
