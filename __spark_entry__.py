@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import sys
 from collections.abc import Callable
+from importlib.util import find_spec
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,6 +30,12 @@ from ringledger.plans import problems as problems_plan  # noqa: E402
 from ringledger.plans import retention as retention_plan  # noqa: E402
 from ringledger.sources import standins  # noqa: E402
 
+# The training-text operators are an optional part: without their folder, all else works.
+if find_spec("ringledger.llm") is not None:
+    from ringledger.llm import queries as llm
+else:
+    llm = None
+
 SMOKE_DIR = "/root/testdata/sf0.001"
 
 # Report parameters that suit the test data.
@@ -46,7 +53,17 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    """One query per operator and report."""
+    """All registered queries."""
+    return report_queries() | (llm.queries() if llm else {})
+
+
+def oracle_sql() -> dict[str, str]:
+    """The same queries as SQL for DuckDB, where SQL can express them."""
+    return report_sql() | (llm.oracle_sql() if llm else {})
+
+
+def report_queries() -> dict[str, Query]:
+    """One query per operator and report of the call centre."""
     named = [
         scan_call_detail,
         date_functions,
@@ -83,8 +100,7 @@ def queries() -> dict[str, Query]:
     return {query.__name__.removesuffix("_query"): _as_doubles(query) for query in named}
 
 
-def oracle_sql() -> dict[str, str]:
-    """The same queries as SQL for DuckDB."""
+def report_sql() -> dict[str, str]:
     return _oracle_sql()
 
 

@@ -1,4 +1,4 @@
-"""Every registered query against its SQL, and the plans of all of them."""
+"""Every report query against its SQL, and the plans of all of them."""
 
 from __future__ import annotations
 
@@ -26,13 +26,13 @@ def duck():
 
 
 def test_every_query_has_its_sql():
-    assert contract.queries().keys() == contract.oracle_sql().keys()
+    assert contract.report_queries().keys() == contract.report_sql().keys()
 
 
-@pytest.mark.parametrize("name", contract.queries())
+@pytest.mark.parametrize("name", contract.report_queries())
 def test_query_equals_its_sql(spark, duck, name):
     df = contract.queries()[name](spark, FOLDER)
-    expected = duck.sql(contract.oracle_sql()[name])
+    expected = duck.sql(contract.report_sql()[name])
     types = dict(zip(expected.columns, map(str, expected.types)))
     assert {column: TYPES[kind] for column, kind in df.dtypes} == types
     rows = [tuple(row[column] for column in expected.columns) for row in df.collect()]
