@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ringledger.llm import line_dedup
+from ringledger.llm import line_dedup, perplexity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,6 +16,11 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_perplexity_rules(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").select("doc_id", "lang", "text")
+    return perplexity.quality_rules(docs, keep_text=False).drop("lang")
+
+
 def op5_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     kept = line_dedup.drop_shared_lines(_table(spark, folder, "documents"))
     sha = F.sha2(F.col("text"), 256).alias("kept_sha256")
@@ -53,7 +58,7 @@ from split join kept using (row_id)
 
 
 def queries() -> dict[str, Query]:
-    named = [op5_line_dedup]
+    named = [op1_perplexity_rules, op5_line_dedup]
     return {query.__name__: query for query in named}
 
 
