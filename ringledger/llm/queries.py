@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ringledger.llm import line_dedup, perplexity
+from ringledger.llm import line_dedup, perplexity, sharding
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -27,6 +27,19 @@ def op5_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", sha)
 
 
+def op9_histogram_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    return sharding.shard_by_bytes(docs).select(
+        "doc_id",
+        "size",
+        F.crc32(F.encode(F.coalesce("text", F.lit("")), "utf-8")).alias("text_crc32"),
+        F.lit("bytes").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 OP5_SQL = r"""
 with split as (
     select doc_id, row_number() over () as row_id,
@@ -58,7 +71,7 @@ from split join kept using (row_id)
 
 
 def queries() -> dict[str, Query]:
-    named = [op1_perplexity_rules, op5_line_dedup]
+    named = [op1_perplexity_rules, op5_line_dedup, op9_histogram_sharding]
     return {query.__name__: query for query in named}
 
 
