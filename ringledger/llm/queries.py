@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ringledger.llm import line_dedup, perplexity, sharding
+from ringledger.llm import line_dedup, perplexity, sharding, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -21,6 +21,12 @@ def op1_perplexity_rules(spark: SparkSession, folder: str) -> DataFrame:
     return perplexity.quality_rules(docs, keep_text=False).drop("lang")
 
 
+def op3_warc_revisits(spark: SparkSession, folder: str) -> DataFrame:
+    return warc.deduplicated_pages(_table(spark, folder, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
 def op5_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     kept = line_dedup.drop_shared_lines(_table(spark, folder, "documents"))
     sha = F.sha2(F.col("text"), 256).alias("kept_sha256")
@@ -40,6 +46,25 @@ def op9_histogram_sharding(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+OP3_SQL = r"""
+with hashed as (
+    select page_id, coalesce(html, '') as payload, sha1(coalesce(html, '')) as hex from pages
+),
+compared as (
+    select *, count(*) over (partition by payload) as copies,
+           max(page_id) over (partition by payload) as original
+    from hashed
+)
+select page_id, strlen(payload)::bigint as payload_bytes,
+       list_aggregate(list_transform(range(32), lambda i: substr(
+           'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+           1 + (((('0x' || substr(hex, 5 * (i // 4)::int + 1, 5))::int
+               >> (15 - 5 * (i % 4))::int)) & 31), 1)), 'string_agg', '') as payload_digest,
+       case when page_id = original then 'response' else 'revisit' end as record_type,
+       case when page_id < original then original end as refers_to
+from compared
+"""
+
 OP5_SQL = r"""
 with split as (
     select doc_id, row_number() over () as row_id,
@@ -71,9 +96,9 @@ from split join kept using (row_id)
 
 
 def queries() -> dict[str, Query]:
-    named = [op1_perplexity_rules, op5_line_dedup, op9_histogram_sharding]
+    named = [op1_perplexity_rules, op3_warc_revisits, op5_line_dedup, op9_histogram_sharding]
     return {query.__name__: query for query in named}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_line_dedup": OP5_SQL}
+    return {"op3_warc_revisits": OP3_SQL, "op5_line_dedup": OP5_SQL}
