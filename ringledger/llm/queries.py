@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ringledger.llm import line_dedup, perplexity, sharding, warc
+from ringledger.llm import line_dedup, packing, perplexity, sharding, warc
 
+TOKENIZER = "word_bpe_49k.json"
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -16,6 +17,12 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def tokenizer_file() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(TOKENIZER)
+
+
 def op1_perplexity_rules(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents").select("doc_id", "lang", "text")
     return perplexity.quality_rules(docs, keep_text=False).drop("lang")
@@ -27,6 +34,11 @@ def op3_warc_revisits(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op4_packing(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents")
+    return packing.pack(docs, tokenizer_file(), keep_ids=False)
+
+
 def op5_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     kept = line_dedup.drop_shared_lines(_table(spark, folder, "documents"))
     sha = F.sha2(F.col("text"), 256).alias("kept_sha256")
@@ -96,7 +108,7 @@ from split join kept using (row_id)
 
 
 def queries() -> dict[str, Query]:
-    named = [op1_perplexity_rules, op3_warc_revisits, op5_line_dedup, op9_histogram_sharding]
+    named = [op1_perplexity_rules, op3_warc_revisits, op4_packing, op5_line_dedup, op9_histogram_sharding]
     return {query.__name__: query for query in named}
 
 
