@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ringledger.llm import line_dedup, packing, perplexity, sharding, warc
+from ringledger.llm import language, line_dedup, packing, perplexity, sharding, warc
 
 TOKENIZER = "word_bpe_49k.json"
 Query = Callable[[SparkSession, str], DataFrame]
@@ -45,6 +45,11 @@ def op5_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", sha)
 
 
+def op7_language_profiles(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").select("doc_id", "text", "lang")
+    return language.cross_checked(docs).select("doc_id", "held_out", "lang_pred", "score")
+
+
 def op9_histogram_sharding(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents").select("doc_id", "text")
     return sharding.shard_by_bytes(docs).select(
@@ -108,7 +113,7 @@ from split join kept using (row_id)
 
 
 def queries() -> dict[str, Query]:
-    named = [op1_perplexity_rules, op3_warc_revisits, op4_packing, op5_line_dedup, op9_histogram_sharding]
+    named = [op1_perplexity_rules, op3_warc_revisits, op4_packing, op5_line_dedup, op7_language_profiles, op9_histogram_sharding]
     return {query.__name__: query for query in named}
 
 
