@@ -23,7 +23,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ringledger.llm.storage import written
-from ringledger.llm.words import Vocabulary, mix, slices, sums_between, utf8
+from ringledger.llm.words import (
+    WHITE,
+    Vocabulary,
+    mix,
+    repeated_lines,
+    repeated_words,
+    slices,
+    sums_between,
+    utf8,
+)
 
 ORDER = 5
 HASH_BITS = 21
@@ -35,7 +44,6 @@ FENCE = 4.0
 LEAST_SPREAD = 0.25
 
 _START, _END = "\x02", "\x03"
-_WHITE = b" \t\n\x0b\x0c\r"
 _SYMBOLS = b"#*$%&|<>"
 #: Where a language is null it counts as this one.
 _NO_LANGUAGE = ""
@@ -289,8 +297,8 @@ class _Scorer:
             "n_words": pa.array(n),
             "word_chars": pa.array([_word_chars(t) for t in texts], pa.int64()),
             "n_symbols": pa.array([_removed(t, _SYMBOLS) for t in texts], pa.int64()),
-            "n_dup_lines": pa.array([_repeated_lines(t) for t in texts], pa.int64()),
-            "n_repeat_words": pa.array(_repeated_words(ids, starts)),
+            "n_dup_lines": pa.array([repeated_lines(t) for t in texts], pa.int64()),
+            "n_repeat_words": pa.array(repeated_words(ids, starts)),
             "log_perplexity": pa.array(per_word, mask=n == 0),
         }
 
@@ -301,40 +309,7 @@ def _removed(text: bytes, letters: bytes) -> int:
 
 def _word_chars(text: bytes) -> int:
     """Code points outside white space: bytes that don't continue a character."""
-    return len(text.translate(None, _WHITE + bytes(range(0x80, 0xC0))))
-
-
-def _repeated_lines(text: bytes) -> int:
-    seen, repeated = set(), 0
-    for line in text.split(b"\n"):
-        if line in seen:
-            repeated += 1
-        elif line.strip(_WHITE):
-            seen.add(line)
-    return repeated
-
-
-def _repeated_words(ids: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    """Words in windows of three words that a text has more than once, the first included."""
-    out = np.zeros(len(starts) - 1, np.int64)
-    for i, (a, b) in enumerate(zip(starts[:-1], starts[1:])):
-        if b - a < 4:
-            continue
-        own, bits = ids[a:b], 21
-        windows = (own[:-2] << 2 * bits) | (own[1:-1] << bits) | own[2:]
-        if own.max() >> bits:  # three numbers don't fit 63 bits: number the pairs first
-            _, pairs = np.unique((own[:-1] << 31) | own[1:], return_inverse=True)
-            windows = (pairs[:-1] << 31) | own[2:]
-        order = np.argsort(windows, kind="stable")
-        equal = windows[order[1:]] == windows[order[:-1]]
-        if equal.any():
-            repeated = np.zeros(b - a + 2, bool)
-            again = np.r_[False, equal] | np.r_[equal, False]
-            places = order[again]
-            for shift in range(3):
-                repeated[places + shift] = True
-            out[i] = repeated.sum()
-    return out
+    return len(text.translate(None, WHITE + bytes(range(0x80, 0xC0))))
 
 
 # The rules.

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ringledger.llm import language, line_dedup, packing, perplexity, sharding, warc
+from ringledger.llm import gam, language, line_dedup, packing, perplexity, sharding, warc
 
 TOKENIZER = "word_bpe_49k.json"
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,6 +28,11 @@ def op1_perplexity_rules(spark: SparkSession, folder: str) -> DataFrame:
     return perplexity.quality_rules(docs, keep_text=False).drop("lang")
 
 
+def op2_quality_gam(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    return gam.classify(docs, _table(spark, folder, "labels"))
+
+
 def op3_warc_revisits(spark: SparkSession, folder: str) -> DataFrame:
     return warc.deduplicated_pages(_table(spark, folder, "pages")).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
@@ -113,7 +118,7 @@ from split join kept using (row_id)
 
 
 def queries() -> dict[str, Query]:
-    named = [op1_perplexity_rules, op3_warc_revisits, op4_packing, op5_line_dedup, op7_language_profiles, op9_histogram_sharding]
+    named = [op1_perplexity_rules, op2_quality_gam, op3_warc_revisits, op4_packing, op5_line_dedup, op7_language_profiles, op9_histogram_sharding]
     return {query.__name__: query for query in named}
 
 

@@ -8,6 +8,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+WHITE = b" \t\n\x0b\x0c\r"
 SLICE_BYTES = 4 << 20
 VOCABULARY_WORDS = 1 << 20
 VOCABULARY_BYTES = 32 << 20
@@ -80,3 +81,37 @@ def sums_between(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
     total = np.zeros(len(values) + 1, values.dtype if values.dtype.kind == "f" else np.int64)
     np.cumsum(values, out=total[1:])
     return total[starts[1:]] - total[starts[:-1]]
+
+
+def repeated_lines(text: bytes) -> int:
+    """Lines with a word that equal an earlier line."""
+    seen, repeated = set(), 0
+    for line in text.split(b"\n"):
+        if line in seen:
+            repeated += 1
+        elif line.strip(WHITE):
+            seen.add(line)
+    return repeated
+
+
+def repeated_words(ids: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Words in windows of three words that a text has more than once, the first included."""
+    out = np.zeros(len(starts) - 1, np.int64)
+    for i, (a, b) in enumerate(zip(starts[:-1], starts[1:])):
+        if b - a < 4:
+            continue
+        own, bits = ids[a:b], 21
+        windows = (own[:-2] << 2 * bits) | (own[1:-1] << bits) | own[2:]
+        if own.max() >> bits:  # three numbers don't fit 63 bits: number the pairs first
+            _, pairs = np.unique((own[:-1] << 31) | own[1:], return_inverse=True)
+            windows = (pairs[:-1] << 31) | own[2:]
+        order = np.argsort(windows, kind="stable")
+        equal = windows[order[1:]] == windows[order[:-1]]
+        if equal.any():
+            repeated = np.zeros(b - a + 2, bool)
+            again = np.r_[False, equal] | np.r_[equal, False]
+            places = order[again]
+            for shift in range(3):
+                repeated[places + shift] = True
+            out[i] = repeated.sum()
+    return out
