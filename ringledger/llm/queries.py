@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ringledger.llm import gam, language, line_dedup, packing, perplexity, sharding, warc
+from ringledger.llm import bilinear, gam, language, line_dedup, packing, perplexity, sharding, warc
 
 TOKENIZER = "word_bpe_49k.json"
 Query = Callable[[SparkSession, str], DataFrame]
@@ -55,6 +55,10 @@ def op7_language_profiles(spark: SparkSession, folder: str) -> DataFrame:
     return language.cross_checked(docs).select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op8_log_bilinear(spark: SparkSession, folder: str) -> DataFrame:
+    return bilinear.score(_table(spark, folder, "documents").select("doc_id", "text"))
+
+
 def op9_histogram_sharding(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents").select("doc_id", "text")
     return sharding.shard_by_bytes(docs).select(
@@ -118,7 +122,7 @@ from split join kept using (row_id)
 
 
 def queries() -> dict[str, Query]:
-    named = [op1_perplexity_rules, op2_quality_gam, op3_warc_revisits, op4_packing, op5_line_dedup, op7_language_profiles, op9_histogram_sharding]
+    named = [op1_perplexity_rules, op2_quality_gam, op3_warc_revisits, op4_packing, op5_line_dedup, op7_language_profiles, op8_log_bilinear, op9_histogram_sharding]
     return {query.__name__: query for query in named}
 
 
