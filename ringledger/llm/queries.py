@@ -7,7 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ringledger.llm import bilinear, gam, language, line_dedup, packing, perplexity, sharding, warc
+from ringledger.llm import (
+    bilinear,
+    dartminhash,
+    gam,
+    language,
+    line_dedup,
+    packing,
+    perplexity,
+    sharding,
+    warc,
+)
 
 TOKENIZER = "word_bpe_49k.json"
 Query = Callable[[SparkSession, str], DataFrame]
@@ -72,6 +82,11 @@ def op9_histogram_sharding(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op10_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    found = dartminhash.near_duplicates(_table(spark, folder, "documents"))
+    return found.select(F.col("id").alias("doc_id"), "class_id")
+
+
 OP3_SQL = r"""
 with hashed as (
     select page_id, coalesce(html, '') as payload, sha1(coalesce(html, '')) as hex from pages
@@ -122,7 +137,17 @@ from split join kept using (row_id)
 
 
 def queries() -> dict[str, Query]:
-    named = [op1_perplexity_rules, op2_quality_gam, op3_warc_revisits, op4_packing, op5_line_dedup, op7_language_profiles, op8_log_bilinear, op9_histogram_sharding]
+    named = [
+        op1_perplexity_rules,
+        op2_quality_gam,
+        op3_warc_revisits,
+        op4_packing,
+        op5_line_dedup,
+        op7_language_profiles,
+        op8_log_bilinear,
+        op9_histogram_sharding,
+        op10_near_duplicates,
+    ]
     return {query.__name__: query for query in named}
 
 
