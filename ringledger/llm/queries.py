@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ringledger.llm import (
     bilinear,
     dartminhash,
+    decontaminate,
     gam,
     language,
     line_dedup,
@@ -60,6 +61,14 @@ def op5_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", sha)
 
 
+def op6_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    """Pairs of a document and a benchmark item found in it."""
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    found = decontaminate.find_items(docs, _table(spark, folder, "benchmark"))
+    pairs = found.select(F.col("row.doc_id").alias("doc_id"), F.explode("matches").alias("match"))
+    return pairs.select("doc_id", "match.*")
+
+
 def op7_language_profiles(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents").select("doc_id", "text", "lang")
     return language.cross_checked(docs).select("doc_id", "held_out", "lang_pred", "score")
@@ -143,6 +152,7 @@ def queries() -> dict[str, Query]:
         op3_warc_revisits,
         op4_packing,
         op5_line_dedup,
+        op6_decontamination,
         op7_language_profiles,
         op8_log_bilinear,
         op9_histogram_sharding,
