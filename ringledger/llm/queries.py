@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from ringledger.llm import (
     bilinear,
     dartminhash,
@@ -19,8 +20,8 @@ from ringledger.llm import (
     sharding,
     warc,
 )
+from ringledger.llm.tokens import tokenizer_file
 
-TOKENIZER = "word_bpe_49k.json"
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -28,12 +29,6 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def tokenizer_file() -> str:
-    import public_tokenizers
-
-    return public_tokenizers.path(TOKENIZER)
-
-
 def op1_perplexity_rules(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents").select("doc_id", "lang", "text")
     return perplexity.quality_rules(docs, keep_text=False).drop("lang")
@@ -158,7 +153,7 @@ def queries() -> dict[str, Query]:
         op9_histogram_sharding,
         op10_near_duplicates,
     ]
-    return {query.__name__: query for query in named}
+    return {query.__name__: query for query in named} | {"pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:

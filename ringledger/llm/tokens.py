@@ -13,6 +13,13 @@ _TAIL = b",.;:!?"
 _ENDS = b".!?"
 
 
+def tokenizer_file(name: str = "word_bpe_49k.json") -> str:
+    """Where a file of the installed public tokenizers lies."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 class WordTokenizer:
     """Ids of texts by a tokenizer that drops white space and never joins across it.
 
