@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ringledger.llm.rows import Passed
 from ringledger.llm.splits import in_fold
 from ringledger.llm.storage import written
 from ringledger.llm.words import Vocabulary, slices, sums_between, utf8
@@ -297,6 +298,7 @@ def _partial_scores(docs: DataFrame, lexicon: Lexicon, table: np.ndarray) -> Dat
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("row"),
+                    batch.column("held_out"),
                     pa.array(np.diff(starts) + 1),
                     pa.array(sums_between((~rare).astype(np.int64), starts) + int(known.texts > 0)),
                     pa.array(sums_between(logs, starts) + end),
@@ -304,10 +306,10 @@ def _partial_scores(docs: DataFrame, lexicon: Lexicon, table: np.ndarray) -> Dat
                     hashes,
                     times,
                 ],
-                ["row", *_PARTIAL.names],
+                ["row", "held_out", *_PARTIAL.names],
             )
 
-    schema = T.StructType([docs.schema["row"], *_PARTIAL.fields])
+    schema = T.StructType([docs.schema["row"], docs.schema["held_out"], *_PARTIAL.fields])
     return docs.mapInArrow(tasks, schema)
 
 
@@ -336,7 +338,7 @@ def score(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text")
     ones are replaced.
     """
     new = ["held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
-    others = [c for c in docs.columns if c not in (text_column, *new)]
+    passed = Passed(docs, [c for c in docs.columns if c not in (text_column, *new)])
     held_out = in_fold(docs[id_column], FOLDS, HELD_OUT_FOLD)
     training = docs.where(~held_out).select(docs[text_column].alias("text"))
     counts = written(count_words(training), "words")
@@ -344,8 +346,7 @@ def score(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text")
     model = LogBilinear()
     model.train(count_triples(training, known))
 
-    row = F.struct(held_out.alias("held_out"), *(docs[c] for c in others)).alias("row")
-    ready = docs.select(row, docs[text_column].alias("text"))
+    ready = docs.select(passed.struct, held_out.alias("held_out"), docs[text_column].alias("text"))
     partial = _partial_scores(ready, known, model.log10_probabilities())
     # The id of a row is written with it, so it is the same wherever it is read.
     partial = written(partial.withColumn("key", F.monotonically_increasing_id()), "partial")
@@ -364,8 +365,8 @@ def score(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text")
     more = F.coalesce("more_logs", F.lit(0.0))
     every = float(np.log10(known.tokens + known.distinct + 1))
     return joined.select(
-        *(F.col("row").getField(c).alias(c) for c in others),
-        F.col("row").getField("held_out").alias("held_out"),
+        *passed.all(),
+        "held_out",
         "n_tokens",
         (F.col("known") + F.coalesce("more_known", F.lit(0))).alias("n_known"),
         F.lit(known.tokens).cast("long").alias("train_tokens"),

@@ -27,6 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ringledger.llm.components import components
+from ringledger.llm.rows import Passed
 from ringledger.llm.storage import written
 from ringledger.llm.words import Vocabulary, mix, slices, utf8
 
@@ -340,10 +341,10 @@ def deduplicated(docs: DataFrame, id_column: str = "doc_id", text_column: str =
     same_id = F.col("id").eqNullSafe(F.col("class_id"))
     heads = found.where(F.col("class_text") & same_id).select(_key("id"), "a", "b").distinct()
     a, b = fingerprint(F.coalesce(docs[text_column], F.lit("")))
-    row = F.struct(*(docs[c] for c in docs.columns)).alias("row")
-    rows = docs.select(row, _key_of(docs[id_column]).alias("id"), a.alias("a"), b.alias("b"))
+    passed = Passed(docs, docs.columns)
+    rows = docs.select(passed.struct, _key_of(docs[id_column]).alias("id"), a.alias("a"), b.alias("b"))
     kept = rows.join(heads, ["id", "a", "b"], "left_semi").dropDuplicates(["id", "a", "b"])
-    return kept.select(*(F.col("row").getField(c).alias(c) for c in docs.columns))
+    return kept.select(*passed.all())
 
 
 def _key_of(column: Column) -> Column:

@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ringledger.llm.rows import Passed
 from ringledger.llm.words import Vocabulary, mix, slices, utf8
 
 #: Edits allowed, as a share of an item's words.
@@ -236,21 +237,22 @@ def find_items(
     benchmark: DataFrame,
     share: float = SHARE,
     text_column: str = "text",
+    matches_column: str = "matches",
     item_column: str = "item_id",
     item_text_column: str = "text",
 ) -> DataFrame:
-    """``row`` (all columns but the text), ``text`` and ``matches`` of every row of ``docs``.
+    """``docs`` with the column ``matches``, which replaces one of that name.
 
-    ``matches`` lists the items found: their id, the first word and the number of words of
+    It lists the items found: their id, the first word and the number of words of
     the closest run, and its edits (the first such stretch, if several are equally near).
     A null or empty text has none. Items with a null text or fewer than ``MIN_WORDS``
     words are left out; an item with a null id is found under a null id, and repeated items
     are found each. Rows count by themselves, also where ids or rows repeat; an empty
     table, or an empty benchmark, is no special case.
     """
-    others = (docs[c] for c in docs.columns if c != text_column)
-    row = F.struct(F.lit(0).alias("none"), *others).alias("row")
-    rows = docs.select(row, docs[text_column].alias("text"), F.expr(f"cast(array() as {_MATCH})").alias("matches"))
+    passed = Passed(docs, [c for c in docs.columns if c not in (text_column, matches_column)])
+    none = F.expr(f"cast(array() as {_MATCH})").alias("matches")
+    rows = docs.select(passed.struct, docs[text_column].alias("text"), none)
     rows = rows.to(T.StructType([rows.schema["row"], rows.schema["text"]]).add("matches", _type()))
     items = benchmark.select(benchmark[item_column].cast("long"), benchmark[item_text_column])
     block: list[tuple[int | None, str | None]] = []
@@ -258,7 +260,11 @@ def find_items(
         block.append(tuple(item))
         if len(block) == BLOCK:
             rows, block = _matched(rows, block, share), []
-    return _matched(rows, block, share) if block else rows
+    if block:
+        rows = _matched(rows, block, share)
+    columns = {c: passed.get(c) for c in passed.columns} | {text_column: F.col("text")}
+    kept = [columns[c].alias(c) for c in docs.columns if c in columns]
+    return rows.select(*kept, F.col("matches").alias(matches_column))
 
 
 def _type() -> T.DataType:
@@ -268,7 +274,6 @@ def _type() -> T.DataType:
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame, text_column: str = "text") -> DataFrame:
     """The rows of ``docs`` in which no item was found, with all their columns."""
-    clean = find_items(docs, benchmark, text_column=text_column).where(F.size("matches") == 0)
-    columns = {c: F.col("row").getField(c) for c in docs.columns if c != text_column}
-    columns[text_column] = F.col("text")
-    return clean.select(*(columns[c].alias(c) for c in docs.columns))
+    found = "benchmark items found"  # no name of a column of docs
+    clean = find_items(docs, benchmark, text_column=text_column, matches_column=found)
+    return clean.where(F.size(F.col(f"`{found}`")) == 0).drop(found)

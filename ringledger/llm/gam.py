@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ringledger.llm.rows import Passed
 from ringledger.llm.splits import in_fold
 from ringledger.llm.storage import written
 from ringledger.llm.words import (
@@ -97,8 +98,8 @@ class Features:
         return out.astype(np.float32)
 
 
-def with_features(docs: DataFrame, text_column: str = "text") -> DataFrame:
-    """``row`` (all columns but the text) and ``features``."""
+def with_features(docs: DataFrame) -> DataFrame:
+    """``row`` and ``features`` from ``row`` and ``text``."""
 
     def tasks(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         features = Features()
@@ -109,10 +110,8 @@ def with_features(docs: DataFrame, text_column: str = "text") -> DataFrame:
             )
             yield pa.RecordBatch.from_arrays([batch.column("row"), lists], ["row", "features"])
 
-    others = (docs[c] for c in docs.columns if c != text_column)
-    ready = docs.select(F.struct(F.lit(0).alias("none"), *others).alias("row"), docs[text_column].alias("text"))
-    schema = T.StructType([ready.schema["row"]]).add("features", T.ArrayType(T.FloatType()))
-    return ready.mapInArrow(tasks, schema)
+    schema = T.StructType([docs.schema["row"]]).add("features", T.ArrayType(T.FloatType()))
+    return docs.mapInArrow(tasks, schema)
 
 
 # Model.
@@ -253,10 +252,10 @@ def classify(
     rows repeat. Columns of ``docs`` named like new ones are replaced.
     """
     new = ["held_out", "score", "predicted"]
-    others = [c for c in docs.columns if c not in (text_column, *new)]
-    plain = docs.select(*(docs[c] for c in others), docs[text_column])
-    table = written(with_features(plain, text_column), "features")
-    key = F.col("row").getField(id_column)
+    passed = Passed(docs, [c for c in docs.columns if c not in (text_column, *new)])
+    rows = docs.select(passed.struct, docs[text_column].alias("text"))
+    table = written(with_features(rows), "features")
+    key = passed.get(id_column)
     held_out = in_fold(key, FOLDS, HELD_OUT_FOLD)
     known = labels.select(labels[id_column].alias("id"), labels[label_column].alias("label"))
     sample = (
@@ -278,4 +277,4 @@ def classify(
 
     scored = table.select("row", held_out.alias("held_out"), score("features").alias("score"))
     predicted = F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted")
-    return scored.select(*(F.col("row").getField(c).alias(c) for c in others), "held_out", "score", predicted)
+    return scored.select(*passed.all(), "held_out", "score", predicted)

@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ringledger.llm.rows import Passed
 from ringledger.llm.splits import in_fold
 from ringledger.llm.words import Vocabulary, slices, utf8
 
@@ -179,7 +180,7 @@ def identify(
     like new ones are replaced.
     """
     new = ["lang_pred", "score"]
-    others = [c for c in docs.columns if c not in (text_column, *new)]
+    passed = Passed(docs, [c for c in docs.columns if c not in (text_column, *new)])
     shared = docs.sparkSession.sparkContext.broadcast(known)
 
     def tasks(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -194,11 +195,10 @@ def identify(
                 }
             )
 
-    row = F.struct(F.lit(0).alias("none"), *(docs[c] for c in others)).alias("row")
-    ready = docs.select(row, docs[text_column].alias("text"))
+    ready = docs.select(passed.struct, docs[text_column].alias("text"))
     schema = T.StructType([ready.schema["row"]]).add("lang_pred", "string").add("score", "double")
     named = ready.mapInArrow(tasks, schema)
-    return named.select(*(F.col("row").getField(c).alias(c) for c in others), *new)
+    return named.select(*passed.all(), *new)
 
 
 def cross_checked(

@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ringledger.llm.rows import Passed
+
 MIN_DOCUMENTS = 10
 MIN_CODE_POINTS = 1
 
@@ -76,9 +78,8 @@ def drop_shared_lines(
         .agg(F.collect_set("position").alias("dropped"))
     )
     # The lines are split below the join, or each lookup of a line would split them again.
-    # The other columns travel in one struct, so that their names cannot clash.
-    rest = F.struct(F.lit(0).alias("none"), *(docs[c] for c in others)).alias("rest")
-    rows = docs.select(same.alias("same"), lines.alias("lines"), rest)
+    passed = Passed(docs, others, "rest")
+    rows = docs.select(same.alias("same"), lines.alias("lines"), passed.struct)
     joined = rows.join(dropped, "same", "left").select(
         "lines",
         "rest",
@@ -87,7 +88,7 @@ def drop_shared_lines(
     # array_except() looks positions up in a hash set, so long documents stay linear.
     stay = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), F.col("dropped"))
     kept = F.transform(stay, lambda i: F.get(F.col("lines"), i))
-    columns = {c: F.col("rest").getField(c) for c in others}
+    columns = {c: passed.get(c) for c in others}
     columns[text_column] = F.array_join(kept, "\n")
     return joined.select(
         *(columns[c].alias(c) for c in docs.columns if c in columns),

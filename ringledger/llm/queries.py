@@ -60,7 +60,7 @@ def op6_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     """Pairs of a document and a benchmark item found in it."""
     docs = _table(spark, folder, "documents").select("doc_id", "text")
     found = decontaminate.find_items(docs, _table(spark, folder, "benchmark"))
-    pairs = found.select(F.col("row.doc_id").alias("doc_id"), F.explode("matches").alias("match"))
+    pairs = found.select("doc_id", F.explode("matches").alias("match"))
     return pairs.select("doc_id", "match.*")
 
 

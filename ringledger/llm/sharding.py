@@ -18,6 +18,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ringledger.llm.rows import Passed
 from ringledger.llm.storage import written
 
 SHARDS = 8
@@ -142,7 +143,7 @@ def shard_by_bytes(
     ``docs`` that are named like new ones are replaced.
     """
     new = ["size", "shard", "slot"]
-    others = [c for c in docs.columns if c not in new or c in (id_column, text_column)]
+    passed = Passed(docs, [c for c in docs.columns if c not in new])
 
     def positive(column: Column) -> Column:
         return F.shiftrightunsigned(F.xxhash64(column), 1)
@@ -150,7 +151,7 @@ def shard_by_bytes(
     # Written once: the place in the scan must be the same row in every pass.
     rows = written(
         docs.select(
-            F.struct(*(docs[c] for c in others)).alias("row"),
+            passed.struct,
             positive(docs[text_column]).alias("k0"),
             positive(docs[id_column]).alias("k1"),
             F.monotonically_increasing_id().alias("k2"),
@@ -186,7 +187,7 @@ def shard_by_bytes(
     )
     joined = placed.withColumn("part", part).join(F.broadcast(offsets), ["shard", "part"])
     return joined.select(
-        *(F.col("row").getField(c).alias(c) for c in others if c not in new),
+        *passed.all(),
         "size",
         "shard",
         (F.col("place") - F.col("start")).alias("slot"),
