@@ -85,7 +85,7 @@ def count_ngrams(docs: DataFrame) -> DataFrame:
                 words, times = np.unique(ids[langs == lang], return_counts=True)
                 found, ends = grams.of(words)
                 weights = np.repeat(times, np.diff(ends))
-                more = np.bincount(found, weights, len(grams.numbers))
+                more = np.bincount(found, weights, len(grams.numbers)).astype(np.float64)
                 held = counts.get(lang, np.zeros(0))
                 more[: len(held)] += held
                 counts[lang] = more

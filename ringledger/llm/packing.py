@@ -2,7 +2,7 @@
 
 Each task takes its documents as they come, as one stream of tokens. Windows may end after
 a document (free), after a sentence (``SENTENCE_PENALTY``) or, where neither comes for
-``STRIDE`` tokens, anywhere on a grid (``WORD_PENALTY``). The cuts with the least padding
+``STRIDE``, anywhere on a grid (``WORD_PENALTY``). The cuts with the least padding
 plus penalties follow from
 
     best[i] = window - place[i] + penalty[i] + min(best[j] + place[j])
@@ -31,8 +31,8 @@ WINDOW = 4096
 END_ID = 2
 SENTENCE_PENALTY = 8
 WORD_PENALTY = 64
-STRIDE = 512
-GRID = 64
+#: As parts of a window: how far apart cuts may be, and the grid where they would be farther.
+STRIDE, GRID = 1 / 8, 1 / 64
 CHUNK = 256
 
 _SCHEMA = (
@@ -81,8 +81,9 @@ class _Stream:
         self.parts.append((doc_id, ids, 0, len(ids)))
         inner = ends[(ends > 0) & (ends < len(ids) - 1)]
         marks = np.r_[0, inner, len(ids)]
-        wide = np.flatnonzero(np.diff(marks) > STRIDE)
-        grid = [np.arange(marks[k] + GRID, marks[k + 1], GRID) for k in wide]
+        step = max(1, int(GRID * self.window))
+        wide = np.flatnonzero(np.diff(marks) > max(1, STRIDE * self.window))
+        grid = [np.arange(marks[k] + step, marks[k + 1], step) for k in wide]
         places = np.concatenate([inner, *grid])
         costs = np.repeat([SENTENCE_PENALTY, WORD_PENALTY], [len(inner), len(places) - len(inner)])
         order = np.argsort(places, kind="stable")

@@ -1,0 +1,59 @@
+from __future__ import annotations
+
+import zlib
+from collections import Counter
+
+from ringledger.llm.language import cross_checked, identify, profiles
+from tests.conftest import DATA
+
+
+def grams(text):
+    found = Counter()
+    for word in (text or "").encode().split():
+        letters = "".join(c for c in word.decode().lower() if c.isalpha())
+        if letters:
+            spelled = f"_{letters}_"
+            for n in (1, 2, 3):
+                found.update(spelled[i : i + n] for i in range(len(spelled) - n + 1))
+    del found["_"]
+    return found
+
+
+def test_profiles_and_distances_by_brute_force(spark):
+    rows = [(1, "the cat and the dog", "en"), (2, "le chat et le chien", "fr"), (3, "a the THE, 12", "en"),
+            (4, None, "en"), (5, "hola", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    known = profiles(docs, size=10)
+    for lang in ("en", "fr"):
+        counts = sum((grams(t) for _, t, x in rows if x == lang), Counter())
+        assert known[lang] == [g for g, _ in sorted(counts.items(), key=lambda x: (-x[1], x[0]))][:10]
+    assert set(known) == {"en", "fr"}
+    for row in identify(docs, known, size=10).collect():
+        counts = grams(rows[row["doc_id"] - 1][1])
+        if not counts:
+            assert (row["lang_pred"], row["score"]) == ("und", 0.0)
+            continue
+        own = sorted(counts, key=lambda g: (-counts[g], -zlib.crc32(g.encode())))[:10]
+        away = {
+            lang: sum(abs(i - p.index(g)) if g in p else 10 - i for i, g in enumerate(own))
+            for lang, p in known.items()
+        }
+        best = min(sorted(away), key=away.get)
+        assert row["lang_pred"] == best
+        assert abs(row["score"] - (1 - away[best] / (10 * len(own)))) < 1e-9
+
+
+def test_held_out_accuracy(spark):
+    docs = spark.read.parquet(f"{DATA}/sf0.01/documents.parquet").select("doc_id", "text", "lang")
+    rows = cross_checked(docs).where("held_out").collect()
+    assert len(rows) > 100
+    assert all(zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0 for r in rows)
+    assert sum(r["lang"] == r["lang_pred"] for r in rows) >= 0.98 * len(rows)
+
+
+def test_odd_rows_and_names(odd_docs, no_docs):
+    rows = cross_checked(odd_docs).collect()
+    assert len(rows) == odd_docs.count()
+    assert {r["lang_pred"] for r in rows} <= {"en", "und"}
+    assert cross_checked(no_docs).collect() == []
+    assert {r["lang_pred"] for r in identify(odd_docs, {}).collect()} == {"und"}

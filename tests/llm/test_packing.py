@@ -1,0 +1,93 @@
+from __future__ import annotations
+
+import random
+import zlib
+from collections import defaultdict
+from itertools import combinations
+
+import numpy as np
+import pytest
+
+from ringledger.llm.packing import best_cuts, pack
+from ringledger.llm.tokens import WordTokenizer, tokenizer_file
+from tests.llm.conftest import TEXTS
+
+
+def cost(places, penalties, chosen, window):
+    total, before = 0, 0
+    for i in chosen:
+        if places[i] - before > window:
+            return None
+        total += window - (places[i] - before) + penalties[i]
+        before = places[i]
+    return total
+
+
+def test_cuts_by_brute_force():
+    rng = random.Random(3)
+    for _ in range(100):
+        steps = [rng.randrange(1, 8) for _ in range(rng.randrange(1, 9))]
+        places = [sum(steps[:i]) for i in range(len(steps) + 1)]
+        penalties = [rng.choice([0, 2, 5]) for _ in places]
+        last = len(places) - 1
+        costs = []
+        for n in range(last):
+            for inner in combinations(range(1, last), n):
+                costs.append(cost(places, penalties, [*inner, last], 10))
+        found = best_cuts(places, penalties, 10)
+        chosen = [places.index(p) for p in found]
+        assert cost(places, penalties, chosen, 10) == min(c for c in costs if c is not None)
+
+
+ODD_TEXTS = TEXTS + ["don't WE'LL i'm 3.14,,, a.b!!! x?...", "<|endoftext|> <|ENDOFTEXT|>",
+                     "İstanbul ΣΑΣ é́ a b c", "###,,, ---; '...'", "１２３ Ⅷ, ½."]
+
+
+def test_word_by_word_equals_whole_texts():
+    from tokenizers import Tokenizer
+
+    plain = Tokenizer.from_file(tokenizer_file())
+    ids, bounds, _ = WordTokenizer(tokenizer_file()).encode([(t or "").encode() for t in ODD_TEXTS])
+    for text, a, b in zip(ODD_TEXTS, bounds, bounds[1:]):
+        assert ids[a:b].tolist() == plain.encode(text or "", add_special_tokens=False).ids
+
+
+@pytest.mark.parametrize("window", [64, 4096])
+def test_every_id_is_in_one_piece(spark, window):
+    from tokenizers import Tokenizer
+
+    plain = Tokenizer.from_file(tokenizer_file())
+    rng = random.Random(8)
+    texts = ODD_TEXTS + [
+        " ".join(f"word{rng.randrange(50)}" + rng.choice(["", "", "."]) for _ in range(rng.randrange(200)))
+        for _ in range(300)
+    ]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(2)
+    rows = pack(docs, tokenizer_file(), window).collect()
+    pieces, sequences = defaultdict(list), defaultdict(list)
+    for row in rows:
+        pieces[row["doc_id"]].append(row)
+        sequences[row["sequence_id"]].append(row)
+        ids = np.array(row["ids"], "<u4")
+        assert len(ids) == row["length"] and zlib.crc32(ids.tobytes()) == row["ids_crc32"]
+    for i, text in enumerate(texts):
+        own = sorted(pieces[i], key=lambda r: r["start"])
+        ids = plain.encode(text or "", add_special_tokens=False).ids + [2]
+        assert [x for r in own for x in r["ids"]] == ids
+        assert [r["start"] for r in own] == list(np.cumsum([0] + [r["length"] for r in own[:-1]]))
+        assert {r["doc_tokens"] for r in own} == {len(ids)}
+    for own in sequences.values():
+        own.sort(key=lambda r: r["offset"])
+        assert [r["offset"] for r in own] == list(np.cumsum([0] + [r["length"] for r in own[:-1]]))
+        assert sum(r["length"] for r in own) <= window
+    order = [r["doc_id"] for key in sorted(sequences) for r in sequences[key]]
+    assert order == sorted(order)  # the order of the documents is kept
+    used = sum(r["length"] for r in rows)
+    assert used >= 0.9 * window * (len(sequences) - 2)
+
+
+def test_odd_rows_and_names(odd_docs, no_docs):
+    rows = pack(odd_docs, tokenizer_file(), keep_ids=False).collect()
+    assert "ids" not in rows[0].asDict()
+    assert sum(r["start"] == 0 for r in rows) == odd_docs.count()
+    assert pack(no_docs, tokenizer_file()).collect() == []
