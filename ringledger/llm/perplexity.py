@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ringledger.llm.rows import Passed
 from ringledger.llm.storage import written
 from ringledger.llm.words import (
     WHITE,
@@ -253,27 +254,22 @@ _STATS = {
 }
 
 
-def score(docs: DataFrame, model: Model, text_column: str = "text", lang_column: str = "lang") -> DataFrame:
-    """``doc`` (the row), ``lang_key`` and the statistics; log_perplexity is null without words."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+def score(rows: DataFrame, model: Model, keep_text: bool = True) -> DataFrame:
+    """``row, lang, text`` with the statistics; log_perplexity is null without words."""
+    shared = rows.sparkSession.sparkContext.broadcast(model)
+    kept = ["row", "lang", "text"] if keep_text else ["row", "lang"]
 
     def tasks(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = _Scorer(shared.value)
         for batch in slices(batches, "text"):
             columns = scorer.statistics(utf8(batch.column("text")))
-            yield pa.RecordBatch.from_pydict(
-                {"doc": batch.column("doc"), "lang_key": batch.column("lang_key"), **columns}
-            )
+            passed = {name: batch.column(name) for name in kept}
+            yield pa.RecordBatch.from_pydict(passed | columns)
 
-    others = [docs[c] for c in docs.columns if c != text_column]
-    key = F.coalesce(docs[lang_column].cast("string"), F.lit(_NO_LANGUAGE)).alias("lang_key")
-    ready = docs.select(
-        F.struct(F.lit(0).alias("none"), *others).alias("doc"), key, docs[text_column].alias("text")
-    )
-    schema = T.StructType([ready.schema["doc"], ready.schema["lang_key"]])
+    schema = T.StructType([rows.schema[name] for name in kept])
     for name, kind in _STATS.items():
         schema.add(name, kind)
-    return ready.mapInArrow(tasks, schema)
+    return rows.mapInArrow(tasks, schema)
 
 
 class _Scorer:
@@ -334,29 +330,26 @@ def quality_rules(
     with ``keep_text=False``.
     """
     new = [*_STATS, "lower", "upper", "base_failed", "kept"]
-    docs = docs.drop(*(c for c in new if c not in (text_column, lang_column)))
     model = Model.fit(docs, text_column)
-    body = "doc_text"
-    carried = docs.withColumn(body, docs[text_column]) if keep_text else docs
-    scored = written(score(carried, model, text_column, lang_column), "quality")
+    passed = Passed(docs, [c for c in docs.columns if c not in (text_column, *new)])
+    lang = F.coalesce(docs[lang_column].cast("string"), F.lit(_NO_LANGUAGE)).alias("lang")
+    rows = docs.select(passed.struct, lang, docs[text_column].alias("text"))
+    scored = written(score(rows, model, keep_text), "quality")
     short = F.col("n_words") < MIN_WORDS
     repeats = 100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words")
     scored = scored.withColumn("base_failed", short | repeats)
     quartiles = F.percentile_approx("log_perplexity", [0.25, 0.75], 10000)
-    bands = scored.where("not base_failed").groupBy("lang_key").agg(quartiles.alias("q"))
+    bands = scored.where("not base_failed").groupBy("lang").agg(quartiles.alias("q"))
     spread = fence * F.greatest(F.lit(LEAST_SPREAD), F.get("q", F.lit(1)) - F.get("q", F.lit(0)))
     bands = bands.select(
-        "lang_key",
+        "lang",
         (F.get("q", F.lit(0)) - spread).alias("lower"),
         (F.get("q", F.lit(1)) + spread).alias("upper"),
     )
     inside = F.col("log_perplexity").between(F.col("lower"), F.col("upper"))
-    result = scored.join(bands, "lang_key", "left")
+    result = scored.join(bands, "lang", "left")
     result = result.withColumn("kept", ~F.col("base_failed") & F.coalesce(inside, F.lit(True)))
-    columns = []
-    for name in docs.columns:
-        if name != text_column:
-            columns.append(F.col("doc").getField(name).alias(name))
-        elif keep_text:
-            columns.append(F.col("doc").getField(body).alias(name))
-    return result.select(*columns, *new)
+    columns = {c: passed.get(c) for c in passed.columns}
+    if keep_text:
+        columns[text_column] = F.col("text").alias(text_column)
+    return result.select(*(columns[c] for c in docs.columns if c in columns), *new)
