@@ -46,6 +46,8 @@ LEAST_SPREAD = 0.25
 
 _START, _END = "\x02", "\x03"
 _SYMBOLS = b"#*$%&|<>"
+#: Words spelled at once, which bounds a task's arrays.
+_BLOCK_WORDS = 1 << 16
 #: Where a language is null it counts as this one.
 _NO_LANGUAGE = ""
 
@@ -87,6 +89,18 @@ def _places(starts: np.ndarray) -> np.ndarray:
 
 
 def _grams(words: list[bytes], counts: np.ndarray) -> pa.RecordBatch:
+    blocks = []
+    for start in range(0, len(words), _BLOCK_WORDS):
+        part = slice(start, start + _BLOCK_WORDS)
+        blocks.append(_block_grams(words[part], counts[part]))
+    hashes, n, grams = (np.concatenate(x) for x in zip(*blocks))
+    _, first, group = np.unique(hashes, return_index=True, return_inverse=True)
+    n = np.bincount(group, n, len(first)).astype(np.int64)
+    return pa.RecordBatch.from_pydict({"gram": pa.array(grams[first], pa.string()), "n": n})
+
+
+def _block_grams(words: list[bytes], counts: np.ndarray):
+    """Hashes, counts and strings of the distinct n-grams."""
     text, codes, starts = _spelled(words)
     places = _places(starts)
     hashes = np.zeros(len(codes), np.uint64)
@@ -94,12 +108,11 @@ def _grams(words: list[bytes], counts: np.ndarray) -> pa.RecordBatch:
         hashes = mix(hashes ^ np.where(places >= back, _back(codes, back) + 1, 0).astype(np.uint64))
     predicted = np.flatnonzero(places > 0)
     weights = np.repeat(counts, np.diff(starts))[predicted]
-    _, first, group = np.unique(hashes[predicted], return_index=True, return_inverse=True)
+    distinct, first, group = np.unique(hashes[predicted], return_index=True, return_inverse=True)
     ends = predicted[first]
     begins = ends - np.minimum(places[ends], ORDER - 1)
     grams = [text[a : b + 1] for a, b in zip(begins.tolist(), ends.tolist())]
-    n = np.bincount(group, weights, len(first)).astype(np.int64)
-    return pa.RecordBatch.from_pydict({"gram": pa.array(grams, pa.string()), "n": n})
+    return distinct, np.bincount(group, weights, len(first)), np.array(grams, object)
 
 
 def _back(codes: np.ndarray, by: int) -> np.ndarray:
@@ -126,8 +139,8 @@ def estimates(counts: DataFrame) -> DataFrame:
             # What starts a word has no left neighbour, so its plain counts stand in.
             begin = counts.where((F.char_length("gram") == m - 1) & F.col("gram").startswith(_START))
             level = longer.unionByName(begin)
-            if m - 1 == 1:
-                level = longer
+            # Written, or each order would count the ones above it again.
+            level = written(longer if m == 2 else level, f"ngrams-{m - 1}")
     whole = parts[0]
     for part in parts[1:]:
         whole = whole.unionByName(part)
@@ -284,8 +297,7 @@ class _Scorer:
         if self.vocabulary.full:
             self._clear()
         ids, starts = self.vocabulary.number(texts)
-        new = self.vocabulary.words[len(self.logs) :]
-        if new:
+        while new := self.vocabulary.words[len(self.logs) :][:_BLOCK_WORDS]:
             self.logs = np.concatenate([self.logs, self.model.log_probabilities(new)])
         n = np.diff(starts)
         per_word = -sums_between(self.logs[ids], starts) / np.maximum(n, 1)
