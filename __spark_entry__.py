@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import sys
 from collections.abc import Callable
+from dataclasses import replace
 from importlib.util import find_spec
 from pathlib import Path
 
@@ -29,6 +30,7 @@ from ringledger.plans import performance as performance_plan  # noqa: E402
 from ringledger.plans import problems as problems_plan  # noqa: E402
 from ringledger.plans import retention as retention_plan  # noqa: E402
 from ringledger.sources import standins  # noqa: E402
+from ringledger.sources.tables import read_source  # noqa: E402
 
 # The training-text operators are an optional part: without their folder, all else works.
 if find_spec("ringledger.llm") is not None:
@@ -66,6 +68,7 @@ def report_queries() -> dict[str, Query]:
     """One query per operator and report of the call centre."""
     named = [
         scan_call_detail,
+        read_source_orders,
         date_functions,
         month_windows_query,
         resolve_range_query,
@@ -89,6 +92,7 @@ def report_queries() -> dict[str, Query]:
         operator_day,
         enterprise_ratio,
         operator_performance,
+        operator_performance_adjusted,
         company_locations,
         company_location_list,
         caption_slice,
@@ -189,6 +193,12 @@ def scan_call_detail(spark: SparkSession, folder: str) -> DataFrame:
     return standins.call_detail(spark, folder)
 
 
+def read_source_orders(spark: SparkSession, folder: str) -> DataFrame:
+    """A source read by path, with a number and a text in wider or equal types."""
+    columns = {"o_orderkey": "bigint", "o_custkey": "bigint", "o_orderstatus": "string"}
+    return read_source(spark, f"{folder}/orders.parquet", columns)
+
+
 def user_score(spark: SparkSession, folder: str) -> DataFrame:
     calls = standins.call_detail(spark, folder)
     return retention.user_score(calls, month_windows(RETENTION_END))
@@ -309,6 +319,25 @@ def operator_performance(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def operator_performance_adjusted(spark: SparkSession, folder: str) -> DataFrame:
+    """The report by adjusted hand-off columns, here five hours after the hand-off."""
+    sources = _performance_sources(spark, folder)
+    later = F.expr("Handoff_time + interval 5 hours")
+
+    def adjusted(calls: DataFrame) -> DataFrame:
+        return calls.withColumns({"Handoff_time_adj": later, "Handoff_Date_adj": later.cast("date")})
+
+    sources = replace(
+        sources,
+        vrs=adjusted(sources.vrs),
+        vri=adjusted(sources.vri),
+        relay=adjusted(sources.relay),
+        handoff_time="Handoff_time_adj",
+        handoff_date="Handoff_Date_adj",
+    )
+    return performance_plan.performance_report(sources, resolve_range(*PERFORMANCE_DAYS))
+
+
 # Problem reports.
 
 

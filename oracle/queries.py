@@ -211,7 +211,7 @@ STEPS = {
                    AS DECIMAL(17,4)) AS AvailableMins
         FROM (SELECT *, date_diff('second', AdjStartTime, AdjEndTime) AS secs
               FROM session_history)
-        WHERE "Date" >= {FIRST} AND "Date" < {AFTER}
+        WHERE "Date" >= {FIRST} AND "Date" <= {AFTER}
         GROUP BY 1, 2, 3""",
     "call_buckets": f"""
         SELECT *, {daytime("ConvoTime_Mins")}, {daytime("SessionTime_Mins")}
@@ -327,6 +327,7 @@ SESSION_MINS = ["BreakMins", "TeamedMins", "AvailableMins"]
 
 FINAL = {
     "scan_call_detail": "SELECT * FROM call_detail",
+    "read_source_orders": "SELECT o_orderkey, o_custkey, o_orderstatus FROM orders",
     "split30_all": "SELECT * FROM calls",
     "activity_time": "SELECT * FROM activity",
     "labor_time": "SELECT * FROM labor",
@@ -439,7 +440,20 @@ FINAL = {
 
 def oracle_sql() -> dict[str, str]:
     """Each final query with the steps it uses, directly or through other steps."""
-    return {name: _with_steps(sql) for name, sql in FINAL.items()}
+    found = {name: _with_steps(sql) for name, sql in FINAL.items()}
+    found["operator_performance_adjusted"] = _five_hours_later(found["operator_performance"])
+    return found
+
+
+def _five_hours_later(sql: str) -> str:
+    """The report with calls counted five hours after their hand-off."""
+    day, time = "CAST(Handoff_Date AS TIMESTAMP) AS Handoff_Date", "WHERE Handoff_time >="
+    assert sql.count(day) == sql.count(time) == 1
+    later = "(Handoff_time + INTERVAL 5 HOUR)"
+    sql = sql.replace(day, f"CAST(CAST({later} AS DATE) AS TIMESTAMP) AS Handoff_Date")
+    return sql.replace(
+        f"{time} {FIRST} AND Handoff_time <", f"WHERE {later} >= {FIRST} AND {later} <"
+    )
 
 
 def _with_steps(sql: str) -> str:

@@ -82,8 +82,10 @@ def _column(value: When) -> Column:
     if isinstance(value, Column):
         return value
     if isinstance(value, datetime):
+        if value.tzinfo is not None:
+            raise ValueError("give a local time without a zone, for which the report counts days")
         # A datetime literal would be moved between time zones; its text is not.
-        return F.lit(value.replace(tzinfo=None).isoformat(" "))
+        return F.lit(value.isoformat(" "))
     return F.lit(value)
 
 

@@ -76,7 +76,11 @@ MINUTE, HOUR, YEAR = "60.0", "3600.0", "8766.0"
 
 
 def session_minutes(sessions: DataFrame, report: Window) -> DataFrame:
-    """Break, teamed and available minutes per centre, operator and day."""
+    """Break, teamed and available minutes per centre, operator and day.
+
+    The day on which the range ends is included: calls filed under that day by an
+    adjusted date still find their session.
+    """
     return (
         _entries(sessions, report)
         .groupBy(*KEYS)
@@ -89,9 +93,10 @@ def session_days(sessions: DataFrame, report: Window) -> DataFrame:
     """``session_minutes`` and ``login_minutes`` in one pass over the sessions.
 
     Login time counts on the day it is filed under, so an entry whose date carries a
-    time of day has none; it would not join a day either.
+    time of day has none; it would not join a day either. Other than session time, it
+    ends with the range.
     """
-    worked = "if(Date = Handoff_Date, LoginTime + TeamingTime - BreakTime, null)"
+    worked = "if(Date = Handoff_Date and in_range, LoginTime + TeamingTime - BreakTime, null)"
     return (
         _entries(sessions, report)
         .groupBy(*KEYS)
@@ -259,9 +264,10 @@ def with_labor(days: DataFrame, report: Window) -> DataFrame:
 def _entries(sessions: DataFrame, report: Window) -> DataFrame:
     """Session entries of the range with their day, length in seconds and time flags."""
     columns = ["Date", "EntryType", "LoginTime", "TeamingTime", "BreakTime"]
-    return sessions.where(report.covers(F.col("Date"))).select(
+    return sessions.where(F.col("Date").between(report.start, report.stop)).select(
         *_keys("CallCenterCode", "OperatorID", midnight(F.col("Date"))),
         seconds_between(F.col("AdjStartTime"), F.col("AdjEndTime")).alias("seconds"),
+        report.covers(F.col("Date")).alias("in_range"),
         *map(F.expr, [*columns, *time_flags("AdjStartTime")]),
     )
 

@@ -5,15 +5,23 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ringledger.functions.skew import spread_semi_join
 from ringledger.operators.windows import DayRange
 
 # Fixed value: the error code of the reports that are matched.
 REPORTED_ERROR = "PR4000"
 
-# Most location codes to write into a filter as literals. Beyond it, the codes are
-# joined instead.
-MAX_LITERAL_CODES = 1000
-
+# What tells rows of a match apart when session and caller are empty.
+SHOWN = [
+    "csOprSessionID",
+    "DateCreated",
+    "ProblemReportID",
+    "OperatorID",
+    "locationcode",
+    "CategoryName",
+    "Notes",
+    "ErrorCode",
+]
 # Columns of a report that appear in the result, beside its session.
 REPORT_FIELDS = [
     "DateCreated",
@@ -60,23 +68,15 @@ def at_company(calls: DataFrame, locations: DataFrame, company: str | None) -> D
     Without a company, calls at any listed location or at the empty one; a call with
     no location at all is left out either way. An unknown company has no calls.
 
-    Codes are few, so they are looked up first and become literals in the filter,
-    which the parquet reader can use to skip row groups. The lookup stops above
-    ``MAX_LITERAL_CODES``; then a semi-join does the same.
+    The codes are joined whatever their number, with a salt, since a location may hold
+    much of the calls.
     """
-    code = F.col("locationcode")
     if company is not None:
         locations = locations.where(F.col("companyname") == company)
-    codes = locations.where(code.isNotNull()).select("locationcode")
-    found = codes.distinct().limit(MAX_LITERAL_CODES + 1).collect()
-    if len(found) <= MAX_LITERAL_CODES:
-        wanted = {row.locationcode for row in found}
-        if company is None:
-            wanted.add("")
-        return calls.where(code.isin(sorted(wanted)))
+    codes = locations.select("locationcode")
     if company is None:
         codes = codes.union(calls.sparkSession.range(1).select(F.lit("")))
-    return calls.join(codes, "locationcode", "left_semi").select(*calls.columns)
+    return spread_semi_join(calls, codes, "locationcode")
 
 
 def connected(calls: DataFrame) -> DataFrame:
@@ -104,18 +104,20 @@ def csc_session_match(
     ``problems`` comes from ``reported_problems``; ``calls`` are the connected calls
     of the slice at the wanted locations.
 
-    Copies are removed on both sides before they meet, so a session with many copies
-    of a call costs one row, and every pair the last join emits is a result row.
-    Distinct sides and a session in the result make the result distinct as well.
+    The cross reference is reduced to the reports' sessions and the calls to the calls
+    that are left there, before copies are removed: what is large is shuffled once. Both
+    sides are distinct when they meet, so a session with many copies of a call costs one
+    row, and every pair the last join emits is a result row. Distinct sides and a session
+    in the result make the result distinct as well.
 
-    Each join shuffles on a key that no aggregation around it shares. That leaves
-    adaptive execution free to split a session or call that holds much of the data.
+    The reducing joins are salted, and the others shuffle on a key that no aggregation
+    around them shares. That leaves adaptive execution free to split a session or call
+    that holds much of the data.
     """
-    links = xref.select("SessionID", "CallID").distinct()
-    links = links.join(problems.select("SessionID"), "SessionID", "left_semi")
+    links = spread_semi_join(xref.select("SessionID", "CallID"), problems, "SessionID").distinct()
     fields = [*PLACE_FIELDS, *CALLER_FIELDS]
     reached = (
-        calls.select("CallID", *fields)
+        spread_semi_join(calls.select("CallID", *fields), links, "CallID")
         .distinct()
         .join(links, "CallID")
         .select("SessionID", *fields)
@@ -161,3 +163,21 @@ def _result(days: DayRange, session: Column, caller: list[Column]) -> list[Colum
         user.alias("UserID_Caller"),
         F.col("ErrorCode"),
     ]
+
+
+def either_match(through_xref: DataFrame, direct: DataFrame) -> DataFrame:
+    """Both kinds of match, each row once.
+
+    Either kind is distinct by itself. A row can be in both only if the cross reference
+    has an empty session and its call no caller, so only such rows are looked up.
+    """
+    blank = F.col("SessionID") == ""
+    for name in ("AssistedUserTelephoneNumber", "DialedorReceivedTelephoneNumber", "CallType", "UserID_Caller"):
+        blank = blank & (F.col(name) == "")
+    blank = F.coalesce(blank, F.lit(False))
+    seen = direct.select(*(F.col(c).alias(f"direct_{c}") for c in SHOWN))
+    same = F.lit(True)
+    for name in SHOWN:
+        same = same & F.col(name).eqNullSafe(F.col(f"direct_{name}"))
+    doubtful = through_xref.where(blank).join(seen, same, "left_anti")
+    return through_xref.where(~blank).unionByName(doubtful).unionByName(direct)

@@ -56,9 +56,13 @@ def labor_time(schedule: DataFrame) -> DataFrame:
     )
 
 
-def split30_all(vrs: DataFrame, vri: DataFrame, relay: DataFrame) -> DataFrame:
+def split30_all(
+    vrs: DataFrame, vri: DataFrame, relay: DataFrame, further: tuple[str, ...] = ()
+) -> DataFrame:
     """Half-hour calls of all three sources in one 55-column shape.
 
+    ``further`` names columns beyond those, which all three sources must have.
+
     Only columns that a consumer selects are read: pruning and filters pass
     through the union to each scan.
     """
@@ -87,17 +91,24 @@ def split30_all(vrs: DataFrame, vri: DataFrame, relay: DataFrame) -> DataFrame:
         "RLSA_Disp_Reason": "'VRI'",
     }
     return (
-        _tagged(vrs, VRS, caller, {})
-        .unionByName(_tagged(vri, VRI, caller, remote))
-        .unionByName(_tagged(relay, RELAY, relay_caller, {}))
+        _tagged(vrs, VRS, caller, {}, further)
+        .unionByName(_tagged(vri, VRI, caller, remote, further))
+        .unionByName(_tagged(relay, RELAY, relay_caller, {}, further))
     )
 
 
-def _tagged(calls: DataFrame, source: str, caller: str, replaced: dict[str, str]) -> DataFrame:
+def _tagged(
+    calls: DataFrame,
+    source: str,
+    caller: str,
+    replaced: dict[str, str],
+    further: tuple[str, ...],
+) -> DataFrame:
     return calls.selectExpr(
         f"'{source}' as CallData_Type",
         "cast(Handoff_time as date) as Handoff_Date",
         *schemas.CALL_COMMON,
         *[f"{replaced.get(name, name)} as {name}" for name in schemas.CALL_SESSION],
         f"{caller} as UserID_Caller_TDN",
+        *further,
     )

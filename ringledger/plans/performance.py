@@ -14,7 +14,11 @@ from ringledger.operators.windows import Window
 
 @dataclass(frozen=True)
 class PerformanceSources:
-    """Source tables of the report."""
+    """Source tables of the report.
+
+    Calls count at the time and on the day of the two hand-off columns. Call tables that
+    carry adjusted ones can name those instead.
+    """
 
     vrs: DataFrame
     vri: DataFrame
@@ -22,6 +26,8 @@ class PerformanceSources:
     sessions: DataFrame
     schedule: DataFrame
     employees: DataFrame
+    handoff_time: str = "Handoff_time"
+    handoff_date: str = "Handoff_Date"
 
 
 def operator_days(sources: PerformanceSources, report: Window) -> DataFrame:
@@ -31,10 +37,13 @@ def operator_days(sources: PerformanceSources, report: Window) -> DataFrame:
     needs them twice. They are written once, so each source is scanned once. What is
     written has a row per operator and day, far below the size of the sources.
     """
-    calls = split30_all(sources.vrs, sources.vri, sources.relay)
+    handoff = (sources.handoff_time, sources.handoff_date)
+    further = tuple(c for c in handoff if c not in ("Handoff_time", "Handoff_Date"))
+    calls = split30_all(sources.vrs, sources.vri, sources.relay, further)
     # One pass gives session and login minutes, and one join brings in both.
     call_days = steps.call_data(
-        steps.bucket_calls(calls, report), steps.session_days(sources.sessions, report)
+        steps.bucket_calls(calls, report, *handoff),
+        steps.session_days(sources.sessions, report),
     )
     labor = steps.labor_hours(labor_time(sources.schedule), report)
     activity = materialize(steps.with_labor_hours(call_days, labor), "operator-activity")

@@ -43,4 +43,4 @@ def csc_report(
     calls = candidate_calls(sources, days, company)
     through_xref = steps.csc_session_match(problems, sources.xref, calls, days)
     direct = steps.csc_direct_match(problems, calls, days)
-    return through_xref.unionByName(direct).distinct().orderBy(*ORDER)
+    return steps.either_match(through_xref, direct).orderBy(*ORDER)

@@ -1,6 +1,6 @@
 from __future__ import annotations
 
-from datetime import date, datetime
+from datetime import date, datetime, timedelta, timezone
 
 import pytest
 from pyspark.sql import functions as F
@@ -133,3 +133,8 @@ def test_problem_range_with_dates(spark):
     for given in [("2024-01-05", None), (None, "2024-01-05"), (None, None)]:
         with pytest.raises(ValueError):
             csc_range(*given)
+
+
+def test_a_moment_with_a_zone_is_refused():
+    with pytest.raises(ValueError, match="zone"):
+        dates.as_time(datetime(2024, 1, 7, 23, 30, tzinfo=timezone(timedelta(hours=-5))))

@@ -75,8 +75,10 @@ def test_session_minutes_by_entry_type(table, week):
         session("2024-01-15 00:00", kind=1, secs=60),
         session("2024-01-07 00:00", kind=1, secs=60),
     ]
-    days = steps.session_minutes(table("SESSION_HISTORY", rows), week).collect()
-    assert len(days) == 1
+    found = steps.session_minutes(table("SESSION_HISTORY", rows), week).collect()
+    # The day on which the range ends counts too, the day before the range does not.
+    days = sorted(found, key=lambda row: row.Handoff_Date)
+    assert [row.Handoff_Date for row in days] == [at("2024-01-08"), at("2024-01-15")]
     assert (days[0].BreakMins, days[0].TeamedMins, days[0].AvailableMins) == (
         Decimal("2.0000"), Decimal("0.5000"), Decimal("1.5000"),
     )

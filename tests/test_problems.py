@@ -57,14 +57,11 @@ def test_companies_and_their_lists(table):
     assert lists == {"A": "'C1','C2'", "B": "'C3'"}
 
 
-@pytest.mark.parametrize("limit", [1000, 0])
 @pytest.mark.parametrize(
     "company, kept",
     [("A", ["C1", "C2"]), ("B", ["C3"]), ("Nobody", []), (None, ["", "C1", "C2", "C3"])],
 )
-def test_company_filter(table, days, monkeypatch, company, kept, limit):
-    # Both ways to filter, by literals and by join, keep the same calls.
-    monkeypatch.setattr(steps, "MAX_LITERAL_CODES", limit)
+def test_company_filter(table, days, company, kept):
     calls = [call(str(i), place=p) for i, p in enumerate(["C1", "C2", "C3", "C4", "C5", "", None])]
     found = candidate_calls(sources(table, [], calls, []), days, company)
     assert sorted(r.locationcode for r in found.collect()) == kept
@@ -242,10 +239,35 @@ def test_hot_keys_are_split(spark, table, conf, days):
     split = re.findall(r"SortMergeJoin\(skew=true\) \[(\w+)#\d+\], \[\w+#\d+\], (\w+)", final)
     assert ("CallID", "Inner") in split
     assert ("SessionID", "Inner") in split
-    assert ("SessionID", "LeftSemi") in split
+    # The reducing joins are spread by a salt, so the hot keys reach all salts' partitions.
+    for key in ("locationcode", "SessionID", "CallID"):
+        assert re.search(rf"Join.*\[{key}#\d+, _salt#\d+L\], .*LeftSemi", final)
 
 
-def test_the_slice_and_codes_reach_the_scan(spark, table, tmp_path, days):
+def test_large_sources_are_shuffled_once(spark, table, conf, days):
+    """Until they are reduced: one exchange over the cross reference, one for each place
+    the calls are reduced; none on all columns of the result, and no job before an action."""
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    reports, calls, links = hot_data(6)
+    data = sources(table, reports, calls, links)
+    spark.sparkContext.setJobGroup("plan", "building the plan")
+    result = csc_report(data, days, "A")
+    plan = physical_plan(result)
+    assert not spark.sparkContext.statusTracker().getJobIdsForGroup("plan")
+    keys = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", plan)
+    assert all(k.count("#") < 15 for k in keys)
+    # A distinct after the join on location deals its rows out anew.
+    assert any(k.startswith("locationcode") and "_salt" in k for k in keys)
+
+
+def test_reports_alike_in_all_shown_fields_stay_apart(table, days):
+    data = sources(table, [report(session="s1"), report(session="s2")],
+                   [call("1", session="s1"), call("2", session="s2")], [("1", "s1"), ("1", "s2")])
+    rows = csc_report(data, days, "A").collect()
+    assert sorted(r.SessionID for r in rows) == ["", "", "s1", "s2"]
+
+
+def test_the_slice_reaches_the_scan(spark, table, tmp_path, days):
     reports, calls, links = hot_data(5)
     path = str(tmp_path / "calls")
     table("CAPTION_CALLS", calls).write.parquet(path)
@@ -253,6 +275,5 @@ def test_the_slice_and_codes_reach_the_scan(spark, table, tmp_path, days):
     data = ProblemSources(data.reports, data.categories, spark.read.parquet(path), data.xref,
                           data.intervals)
     (pushed,) = pushed_filters(candidate_calls(data, days, "A"))
-    assert "In(locationcode, [C1,C2])" in pushed
     assert "GreaterThanOrEqual(Handoff_Time,2024-01-05" in pushed
     assert "LessThanOrEqual(Handoff_Time,2024-01-07" in pushed

@@ -7,7 +7,7 @@ import pytest
 from ringledger.functions.timeflags import BUCKETS, bucket_sums, measure_name, time_flags
 from ringledger.operators.views import activity_time, labor_time, split30_all
 from ringledger.sources import schemas
-from ringledger.sources.tables import read_source
+from ringledger.sources.tables import read_source, typed
 from tests.conftest import at
 
 
@@ -132,3 +132,24 @@ def test_sources_are_read_by_path_and_by_three_part_name(spark, table, tmp_path)
     df.createOrReplaceTempView("call_view")
     assert read_source(spark, "call_view", schemas.CALL_DETAIL).collect() == expected
     spark.sql("drop table call_detail_copy")
+
+
+def test_a_source_keeps_its_values(spark, conf):
+    wide = spark.sql("select 1.0D as n, 5L as m, 'x' as t")
+    assert typed(wide, {"n": "int", "m": "int", "t": "string"}).collect() == [(1, 5, "x")]
+    for value in ("7.9D", "3000000000L", "1.25D"):
+        kind = "decimal(12,1)" if value == "1.25D" else "int"
+        with pytest.raises(Exception, match="does not fit"):
+            typed(spark.sql(f"select {value} as n"), {"n": kind}).collect()
+
+
+@pytest.mark.parametrize("session", ["UTC", "America/New_York"])
+def test_times_with_a_zone_need_one(spark, conf, session):
+    conf("spark.sql.session.timeZone", session)
+    moment = spark.sql("select timestamp_micros(1704679200123456) as t")  # 02:00:00.123456 UTC
+    with pytest.raises(ValueError, match="zone"):
+        typed(moment, {"t": "timestamp_ntz"})
+    text = typed(moment, {"t": "timestamp_ntz"}, "UTC").selectExpr("cast(t as string)").first()[0]
+    assert text == "2024-01-08 02:00:00.123456"
+    text = typed(moment, {"t": "timestamp_ntz"}, "America/New_York").selectExpr("cast(t as string)")
+    assert text.first()[0] == "2024-01-07 21:00:00.123456"
