@@ -61,7 +61,8 @@ def drop_shared_lines(
 
     hashed = docs.select(same.alias("same"), F.transform(lines, fingerprint_or_null).alias("keys"))
     shared = (
-        hashed.select(F.explode(F.array_distinct("keys")).alias("key"))
+        # explode() would have Spark test each array for emptiness first, hashing all twice.
+        hashed.select(F.explode_outer(F.array_distinct("keys")).alias("key"))
         .where("key is not null")
         .groupBy("key.a", "key.b")
         .agg(F.count(F.lit(1)).alias("documents"))
@@ -70,7 +71,7 @@ def drop_shared_lines(
     )
     # Repeated rows would list their positions once each, so the lists are sets.
     dropped = (
-        hashed.select("same", F.posexplode("keys").alias("position", "key"))
+        hashed.select("same", F.posexplode_outer("keys").alias("position", "key"))
         .where("key is not null")
         .select("same", "position", "key.a", "key.b")
         .join(shared, ["a", "b"], "left_semi")
