@@ -41,6 +41,7 @@ _SEED = 3
 #: of two with a chance of 0.16; 128 samples miss it with a chance below 1 in a billion.
 WALKS, SAMPLES, SAMPLE = 8, 16, 2
 _WINDOWS_AT_ONCE = 4096
+_HITS_AT_ONCE = 1 << 20
 
 _MATCH = "array<struct<item_id:long,start:long,length:long,edits:long>>"
 _ARROW_MATCH = pa.list_(
@@ -64,17 +65,21 @@ def _rolled(words: np.ndarray) -> np.ndarray:
 # Embedding.
 
 
-def embed(windows: np.ndarray, walk: int) -> np.ndarray:
-    """CGK embeddings of equally long word sequences: three places for each word."""
+def embed(windows: np.ndarray, walk: int, places: int) -> np.ndarray:
+    """The first places (a row each) of CGK embeddings of equally long word sequences."""
     count, n = windows.shape
-    padded = np.concatenate([windows, np.zeros((count, 1), np.uint64)], axis=1)
-    at, rows = np.zeros(count, np.int64), np.arange(count)
-    out = np.zeros((count, 3 * n), np.uint64)
-    for step in range(3 * n):
-        word = padded[rows, at]
-        out[:, step] = word
-        coin = mix(word ^ np.uint64(((walk << 32) + step + 1) * 0x9E3779B97F4A7C15 & (1 << 64) - 1))
-        at = np.minimum(at + (coin & np.uint64(1)).astype(np.int64), n)
+    padded = np.concatenate([windows, np.zeros((count, 1), np.uint64)], axis=1).ravel()
+    row = np.arange(count) * (n + 1)
+    at, end = row.copy(), row + n
+    # A word's coins for all steps are the bits of its hashes, 64 steps a hash.
+    out = np.zeros((places, count), np.uint64)
+    for step in range(places):
+        if step % 64 == 0:
+            salt = np.uint64(((walk << 32) + step + 1) * 0x9E3779B97F4A7C15 & (1 << 64) - 1)
+            coins = mix(padded ^ salt)
+        out[step] = padded[at]
+        at += ((coins[at] >> np.uint64(step % 64)) & np.uint64(1)).astype(np.int64)
+        np.minimum(at, end, out=at)
     return out
 
 
@@ -84,21 +89,33 @@ def _samples(n: int, walk: int) -> np.ndarray:
     return random.integers(0, 2 * n, (SAMPLES, SAMPLE))
 
 
-def agree(windows: np.ndarray, items: np.ndarray) -> np.ndarray:
-    """Which windows equal their items in all places of some sample."""
+def agree(windows: np.ndarray, items: np.ndarray, row: np.ndarray) -> np.ndarray:
+    """Which windows equal ``items[row]`` in all places of some sample."""
     found = np.zeros(len(windows), bool)
     n = windows.shape[1]
     for walk in range(WALKS):
         open_ = np.flatnonzero(~found)
         if not len(open_):
             break
-        # A window's item often repeats, so each is embedded once.
-        own, back = np.unique(items[open_], axis=0, return_inverse=True)
-        equal = embed(windows[open_], walk) == embed(own, walk)[back.ravel()]
-        found[open_] = equal[:, _samples(n, walk)].all(axis=2).any(axis=1)
+        # Only sampled places are compared.
+        places = _samples(n, walk)
+        mine, theirs = embed(windows[open_], walk, 2 * n), embed(items, walk, 2 * n)
+        hit = np.zeros(len(open_), bool)
+        for sample in places:
+            equal = np.ones(len(open_), bool)
+            for place in sample:
+                equal &= mine[place] == theirs[place][row[open_]]
+            hit |= equal
+        found[open_] = hit
     return found
 
 
+def _spread(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each length, its index that often, and the numbers from 0."""
+    owner = np.repeat(np.arange(len(lengths)), lengths)
+    return owner, np.arange(len(owner)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+
+
 def edit_distance(item: np.ndarray, words: np.ndarray) -> tuple[int, int]:
     """Fewest edits from ``item`` to any run of ``words``, and where such a run ends."""
     columns = np.arange(len(words) + 1)
@@ -158,57 +175,87 @@ class Index:
         self.seeds = np.array(seeds, np.uint64)[order]
         self.item_of = np.array(item_of, np.int64)[order]
         self.offset = np.array(offset, np.int64)[order]
+        self.sizes = np.array([len(i.words) for i in self.items], np.int64)
+        self.edits = np.array([i.edits for i in self.items], np.int64)
         self.maybe = np.zeros(1 << 20, bool)
         self.maybe[self.seeds >> np.uint64(44)] = True
 
     def search(self, words: np.ndarray) -> list[dict]:
         """The items in a document (hashes of its words): the closest run for each."""
-        windows = self._windows(words)
-        found = []
-        for item, starts in windows.items():
-            best = self._best(self.items[item], starts, words)
-            if best:
-                found.append(best)
+        return self.search_all(words, np.array([0, len(words)]))[0]
+
+    def search_all(self, words: np.ndarray, starts: np.ndarray) -> list[list[dict]]:
+        """The items in each of several documents, laid end to end from ``starts``."""
+        found: list[list[dict]] = [[] for _ in starts[1:]]
+        doc, item, start = self._candidates(words, starts)
+        pair = doc * len(self.items) + item
+        for own in np.split(np.arange(len(pair)), np.flatnonzero(np.diff(pair)) + 1):
+            if len(own):
+                d = doc[own[0]]
+                text = words[starts[d] : starts[d + 1]]
+                best = self._best(self.items[item[own[0]]], start[own], text)
+                if best:
+                    found[d].append(best)
         return found
 
-    def _windows(self, words: np.ndarray) -> dict[int, np.ndarray]:
-        """Starts of the windows to look at, by item."""
+    def _candidates(self, words: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Document, item and start of the windows that agree in a sample, in this order."""
+        parts = []
+        for doc, item, start in self._windows(words, starts):
+            size = self.sizes[item]
+            order = np.argsort(size, kind="stable")
+            for own in np.split(order, np.flatnonzero(np.diff(size[order])) + 1):
+                for at in range(0, len(own), _WINDOWS_AT_ONCE):
+                    some = own[at : at + _WINDOWS_AT_ONCE]
+                    places = (starts[doc[some]] + start[some])[:, None] + np.arange(size[own[0]])
+                    inside = places < starts[doc[some] + 1][:, None]
+                    windows = np.where(inside, words[np.minimum(places, len(words) - 1)], 0)
+                    numbers, row = np.unique(item[some], return_inverse=True)
+                    items = np.stack([self.items[i].words for i in numbers])
+                    kept = some[agree(windows.astype(np.uint64), items, row)]
+                    parts.append(np.stack([doc[kept], item[kept], start[kept]]))
+        every = np.concatenate(parts, axis=1) if parts else np.zeros((3, 0), np.int64)
+        return tuple(np.unique(every, axis=1))
+
+    def _windows(self, words: np.ndarray, starts: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
+        """Document, item and start of the windows to look at, some at a time."""
         rolled = _rolled(words)
         places = np.flatnonzero(self.maybe[rolled >> np.uint64(44)])
         low = np.searchsorted(self.seeds, rolled[places], "left")
         number = np.searchsorted(self.seeds, rolled[places], "right") - low
-        hit = np.repeat(np.arange(len(places)), number)
-        seed = low[hit] + np.arange(len(hit)) - np.repeat(np.cumsum(number) - number, number)
-        item, start = self.item_of[seed], places[hit] - self.offset[seed]
-        out = {}
-        for i in np.unique(item):
-            edits = self.items[i].edits
-            near = start[item == i][:, None] + np.arange(-edits, edits + 1)
-            last = max(0, len(words) - len(self.items[i].words) + edits)
-            out[int(i)] = np.unique(np.clip(near, 0, last))
-        return out
-
-    def _best(self, item: _Item, starts: np.ndarray, words: np.ndarray) -> dict | None:
+        doc = np.searchsorted(starts, places, "right") - 1
+        real = (number > 0) & (places + _SEED <= starts[doc + 1])
+        places, low, number, doc = places[real], low[real], number[real], doc[real]
+        cost = np.cumsum(number * (2 * self.edits.max(initial=0) + 1))
+        for own in np.split(np.arange(len(places)), np.flatnonzero(np.diff(cost // _HITS_AT_ONCE)) + 1):
+            hit, nth = _spread(number[own])
+            seed = low[own][hit] + nth
+            item = self.item_of[seed]
+            first = places[own][hit] - starts[doc[own]][hit] - self.offset[seed]
+            edits = self.edits[item]
+            hit_of, shift = _spread(2 * edits + 1)
+            of, item = doc[own][hit][hit_of], item[hit_of]
+            last = np.maximum(0, starts[of + 1] - starts[of] - self.sizes[item] + edits[hit_of])
+            start = np.clip(first[hit_of] - edits[hit_of] + shift, 0, last)
+            # One number for the three, so that repeats go with a plain sort.
+            longest = int(start.max(initial=0)) + 1
+            key = np.unique((of * len(self.items) + item) * longest + start)
+            pair = key // longest
+            yield pair // len(self.items), pair % len(self.items), key % longest
+
+    def _best(self, item: _Item, kept: np.ndarray, words: np.ndarray) -> dict | None:
         n, edits, best = len(item.words), item.edits, None
-        padded = np.r_[words, np.zeros(n, np.uint64)]
-        candidates = []
-        for part in range(0, len(starts), _WINDOWS_AT_ONCE):
-            some = starts[part : part + _WINDOWS_AT_ONCE]
-            windows = padded[some[:, None] + np.arange(n)]
-            candidates.append(some[agree(windows, np.broadcast_to(item.words, windows.shape))])
-        kept = np.concatenate(candidates)
         # Candidates next to each other are one stretch of text.
         for run in np.split(kept, np.flatnonzero(np.diff(kept) > n) + 1):
-            if len(run):
-                begin = max(0, run[0] - edits)
-                text = words[begin : run[-1] + n + edits]
-                distance, end = edit_distance(item.words, text)
-                if distance <= edits and (best is None or distance < best["edits"]):
-                    start = _start(item.words, text[:end])
-                    best = {
-                        "item_id": item.number, "start": int(begin + start),
-                        "length": int(end - start), "edits": distance,
-                    }
+            begin = max(0, run[0] - edits)
+            text = words[begin : run[-1] + n + edits]
+            distance, end = edit_distance(item.words, text)
+            if distance <= edits and (best is None or distance < best["edits"]):
+                start = _start(item.words, text[:end])
+                best = {
+                    "item_id": item.number, "start": int(begin + start),
+                    "length": int(end - start), "edits": distance,
+                }
         return best
 
 
@@ -222,8 +269,7 @@ def _matched(rows: DataFrame, block: list[tuple[int | None, str | None]], share:
                 vocabulary, hashes = Vocabulary(), np.zeros(0, np.uint64)
             ids, starts = vocabulary.number([t.lower() for t in utf8(batch.column("text"))])
             hashes = np.r_[hashes, _hashes(vocabulary.words[len(hashes) :])]
-            words = hashes[ids]
-            found = [index.search(words[a:b]) for a, b in zip(starts[:-1], starts[1:])]
+            found = index.search_all(hashes[ids], starts)
             before = batch.column("matches").to_pylist()
             matches = pa.array([x + y for x, y in zip(before, found)], _ARROW_MATCH)
             columns = [batch.column("row"), batch.column("text"), matches]
