@@ -5,8 +5,8 @@ the word, by interpolated modified Kneser-Ney estimates. One model is learned fr
 texts; the perplexity is that of a word, and the bands are those of a language. Tasks
 reduce their texts to counts of character n-grams, Spark adds these up and derives the
 lower orders by counting distinct left neighbours, and the estimates go into sorted arrays
-of hashes. A hash has ``HASH_BITS`` bits, which bounds the arrays whatever the corpus
-holds; n-grams that share a hash share the larger value. So the model can be broadcast.
+of 64-bit hashes, 12 bytes for each distinct n-gram, which are broadcast. The arrays grow
+with the n-grams, so an n-gram that was never counted is never taken for another.
 
 Characters within words, not words, because their n-grams stay few as the corpus grows.
 """
@@ -36,7 +36,6 @@ from ringledger.llm.words import (
 )
 
 ORDER = 5
-HASH_BITS = 21
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 #: A text is rejected beyond the quartiles of its language plus or minus so many times
@@ -123,7 +122,7 @@ def _back(codes: np.ndarray, by: int) -> np.ndarray:
 
 
 def estimates(counts: DataFrame) -> DataFrame:
-    """``part, slot, value``: the model, at most 2 ** HASH_BITS rows for each part.
+    """``part, key, value``: the model, a row for each distinct n-gram and context.
 
     Part m (1 to ORDER) holds the discounted share of each n-gram of m characters, part
     -m the weight that its context leaves to the next lower order.
@@ -145,15 +144,14 @@ def estimates(counts: DataFrame) -> DataFrame:
     for part in parts[1:]:
         whole = whole.unionByName(part)
 
-    def slot(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def keyed(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             if len(batch):
                 yield pd.DataFrame(
-                    {"part": batch["part"], "slot": _slots_of(batch["gram"]), "value": batch["value"]}
+                    {"part": batch["part"], "key": _keys_of(batch["gram"]), "value": batch["value"]}
                 )
 
-    slots = whole.mapInPandas(slot, "part byte, slot int, value float")
-    return slots.groupBy("part", "slot").agg(F.max("value").alias("value"))
+    return whole.mapInPandas(keyed, "part byte, key long, value float")
 
 
 def _order(level: DataFrame, m: int) -> DataFrame:
@@ -190,8 +188,8 @@ def _order(level: DataFrame, m: int) -> DataFrame:
     return terms.unionByName(weights)
 
 
-def _slots_of(grams: pd.Series) -> np.ndarray:
-    out = np.zeros(len(grams), np.int32)
+def _keys_of(grams: pd.Series) -> np.ndarray:
+    out = np.zeros(len(grams), np.int64)
     lengths = grams.str.len().to_numpy()
     for m in np.unique(lengths):
         own = np.flatnonzero(lengths == m)
@@ -200,7 +198,7 @@ def _slots_of(grams: pd.Series) -> np.ndarray:
         hashes = np.zeros(len(own), np.uint64)
         for j in range(m):
             hashes = _extended(hashes, codes[:, j])
-        out[own] = _slot(hashes)
+        out[own] = hashes.view(np.int64)
     return out
 
 
@@ -208,12 +206,8 @@ def _extended(hashes: np.ndarray, codes: np.ndarray) -> np.ndarray:
     return mix(hashes ^ (codes.astype(np.uint64) + np.uint64(1)))
 
 
-def _slot(hashes: np.ndarray) -> np.ndarray:
-    return (mix(hashes) >> np.uint64(64 - HASH_BITS)).astype(np.int32)
-
-
 class Model:
-    """Sorted slots and values by part; see ``estimates``."""
+    """Sorted keys and values by part; see ``estimates``."""
 
     def __init__(self, parts: dict[int, tuple[np.ndarray, np.ndarray]]) -> None:
         self.parts = parts
@@ -222,18 +216,19 @@ class Model:
     def fit(cls, docs: DataFrame, text_column: str = "text") -> Model:
         counts = written(count_ngrams(docs, text_column), "ngrams")
         rows = estimates(counts).toArrow()
-        part, slot, value = (rows.column(c).to_numpy() for c in ("part", "slot", "value"))
-        order = np.lexsort((slot, part))
-        part, slot, value = part[order], slot[order], value[order]
-        return cls({int(p): (slot[part == p], value[part == p]) for p in np.unique(part)})
+        part, key, value = (rows.column(c).to_numpy() for c in ("part", "key", "value"))
+        # A text may hold the marks themselves; of two equal n-grams the larger value is first.
+        order = np.lexsort((-value, key, part))
+        part, key, value = part[order], key[order], value[order]
+        return cls({int(p): (key[part == p], value[part == p]) for p in np.unique(part)})
 
     def _found(self, part: int, hashes: np.ndarray, default: float) -> np.ndarray:
-        slots, values = self.parts.get(part, (np.zeros(0, np.int32), np.zeros(0, np.float32)))
-        if not len(slots):
+        keys, values = self.parts.get(part, (np.zeros(0, np.int64), np.zeros(0, np.float32)))
+        if not len(keys):
             return np.full(len(hashes), default, np.float32)
-        wanted = _slot(hashes)
-        at = np.minimum(np.searchsorted(slots, wanted), len(slots) - 1)
-        return np.where(slots[at] == wanted, values[at], np.float32(default))
+        wanted = hashes.view(np.int64)
+        at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+        return np.where(keys[at] == wanted, values[at], np.float32(default))
 
     def log_probabilities(self, words: list[bytes]) -> np.ndarray:
         """Natural log probability of each word with its end."""

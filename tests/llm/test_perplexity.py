@@ -3,6 +3,7 @@ from __future__ import annotations
 import math
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 
 from ringledger.llm import perplexity
@@ -92,6 +93,17 @@ def test_blocks_of_words_count_the_same(docs, monkeypatch):
     assert dict(zip(batch.column("gram").to_pylist(), batch.column("n").to_pylist())) == whole
 
 
+def test_every_ngram_has_its_own_entry(spark):
+    """40,000 random words: n-grams that share an entry would be fewer than counted."""
+    random = np.random.default_rng(1)
+    letters = random.integers(ord("a"), ord("z") + 1, (40_000, 5))
+    words = ["".join(map(chr, row)) for row in letters.tolist()]
+    docs = spark.createDataFrame([(0, " ".join(words))], "doc_id long, text string")
+    longest = {g for g in counts_by_brute_force(words) if len(g) == ORDER}
+    keys, values = Model.fit(docs).parts[ORDER]
+    assert len(keys) == len(values) == len(set(keys.tolist())) == len(longest)
+
+
 def base_by_brute_force(text):
     words = (text or "").encode().split()
     windows = defaultdict(list)
