@@ -38,10 +38,10 @@ from ringledger.llm.words import (
 ORDER = 5
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
-#: A text is rejected beyond the quartiles of its language plus or minus so many times
-#: their distance, or LEAST_SPREAD if that is larger. In natural logs per word.
-FENCE = 4.0
-LEAST_SPREAD = 0.25
+#: A text is rejected beyond the middle of its language's shortest half plus or minus so
+#: many times half its width, or LEAST_SPREAD if that is larger. In natural logs per word.
+FENCE = 4.5
+LEAST_SPREAD = 0.125
 
 _START, _END = "\x02", "\x03"
 _SYMBOLS = b"#*$%&|<>"
@@ -330,8 +330,10 @@ def quality_rules(
     A row fails the base rules with fewer than 50 words (so also if its text is null or
     empty), or if more than half of its words stand in repeated windows of three. Of the
     others, those are rejected whose perplexity lies outside the band of their language:
-    the quartiles of all texts of the language that pass the base rules, widened by
-    ``fence`` times their distance. A null language is a language of its own. Every row
+    ``fence`` times around the shortest range that holds half of the texts of the language
+    that pass the base rules. Junk apart from the others, as long as it is less than half of
+    a language, is not in that range: if it is a third, the range spans three quarters of
+    the others instead of half of them. A null language is a language of its own. Every row
     counts by itself, also if ids or rows repeat. An empty table gives an empty table.
     Columns of ``docs`` with the names of new ones are replaced. The text is left out
     with ``keep_text=False``.
@@ -345,14 +347,19 @@ def quality_rules(
     short = F.col("n_words") < MIN_WORDS
     repeats = 100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words")
     scored = scored.withColumn("base_failed", short | repeats)
-    quartiles = F.percentile_approx("log_perplexity", [0.25, 0.75], 10000)
-    bands = scored.where("not base_failed").groupBy("lang").agg(quartiles.alias("q"))
-    spread = fence * F.greatest(F.lit(LEAST_SPREAD), F.get("q", F.lit(1)) - F.get("q", F.lit(0)))
-    bands = bands.select(
-        "lang",
-        (F.get("q", F.lit(0)) - spread).alias("lower"),
-        (F.get("q", F.lit(1)) + spread).alias("upper"),
+    percents = [i / 100 for i in range(101)]
+    quantiles = F.percentile_approx("log_perplexity", percents, 10000)
+    bands = scored.where("not base_failed").groupBy("lang").agg(quantiles.alias("q"))
+    halves = F.transform(
+        F.sequence(F.lit(0), F.lit(50)),
+        lambda i: F.struct(
+            (F.get("q", i + 50) - F.get("q", i)).alias("width"), F.get("q", i).alias("low")
+        ),
     )
+    bands = bands.select("lang", F.array_min(halves).alias("half"))
+    middle = F.col("half.low") + F.col("half.width") / 2
+    spread = fence * F.greatest(F.lit(LEAST_SPREAD), F.col("half.width") / 2)
+    bands = bands.select("lang", (middle - spread).alias("lower"), (middle + spread).alias("upper"))
     inside = F.col("log_perplexity").between(F.col("lower"), F.col("upper"))
     result = scored.join(bands, "lang", "left")
     result = result.withColumn("kept", ~F.col("base_failed") & F.coalesce(inside, F.lit(True)))

@@ -143,6 +143,24 @@ def test_bands(spark):
         assert r["kept"] == (r["lower"] <= r["log_perplexity"] <= r["upper"])
 
 
+def test_a_third_of_a_language_as_junk(spark):
+    """The junk is alike in itself, so quartiles would take it for the language's own."""
+    random = np.random.default_rng(2)
+    usual = ["".join(map(chr, random.integers(97, 105, 5).tolist())) for _ in range(300)]
+
+    def text(junk):
+        if junk:
+            return " ".join("".join(map(chr, w)) for w in random.integers(97, 123, (60, 6)).tolist())
+        return " ".join(random.choice(usual, 60))
+
+    docs = spark.createDataFrame(
+        [(i, text(i % 3 == 0), "en") for i in range(600)], "doc_id long, text string, lang string"
+    )
+    rows = quality_rules(docs).collect()
+    assert not any(r["kept"] for r in rows if r["doc_id"] % 3 == 0)
+    assert all(r["kept"] for r in rows if r["doc_id"] % 3)
+
+
 def test_odd_rows_and_names(odd_docs, no_docs):
     found = quality_rules(odd_docs)
     new = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
