@@ -18,6 +18,7 @@ from ringledger.llm import (
     packing,
     perplexity,
     sharding,
+    toxicity,
     warc,
 )
 from ringledger.llm.tokens import tokenizer_file
@@ -91,6 +92,11 @@ def op10_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), "class_id")
 
 
+def op11_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    return toxicity.classify(docs, _table(spark, folder, "labels"))
+
+
 OP3_SQL = r"""
 with hashed as (
     select page_id, coalesce(html, '') as payload, sha1(coalesce(html, '')) as hex from pages
@@ -152,6 +158,7 @@ def queries() -> dict[str, Query]:
         op8_log_bilinear,
         op9_histogram_sharding,
         op10_near_duplicates,
+        op11_toxicity,
     ]
     return {query.__name__: query for query in named} | {"pipeline": corpus_pipeline.run}
 
