@@ -17,6 +17,7 @@ from ringledger.llm import (
     line_dedup,
     packing,
     perplexity,
+    phrases,
     sharding,
     toxicity,
     warc,
@@ -97,6 +98,10 @@ def op11_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.classify(docs, _table(spark, folder, "labels"))
 
 
+def op12_phrase_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return phrases.collocations(_table(spark, folder, "documents").select("lang", "text"))
+
+
 OP3_SQL = r"""
 with hashed as (
     select page_id, coalesce(html, '') as payload, sha1(coalesce(html, '')) as hex from pages
@@ -145,6 +150,62 @@ select doc_id, n_lines, n_dropped, sha256(text) as kept_sha256
 from split join kept using (row_id)
 """
 
+OP12_SQL = r"""
+with pieces as (
+    select lang, row_number() over () as piece, words
+    from (
+        select coalesce(lang, 'und') as lang, list_filter(
+            string_split_regex(unnest(string_split_regex(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[.,;:!?\x0A-\x0D]')), '[\x20\x09]+'),
+            lambda w: w <> '') as words
+        from documents
+    )
+),
+totals as (select lang, sum(len(words))::bigint as n from pieces group by lang),
+starts as (select lang, words, unnest(range(1, len(words) + 1)) as start from pieces),
+grams as (
+    select lang, words[start:start + size - 1] as phrase, size
+    from starts, (select unnest([1, 2, 3, 4]) as size)
+    where start + size - 1 <= len(words)
+),
+counted as (
+    select lang, phrase, size, count(*) as f from grams group by all having count(*) >= 30
+),
+cuts as (
+    select c.lang, c.phrase, c.size, c.f, k, x.f as l, y.f as r,
+           (2000000::hugeint * c.f // (x.f + y.f))::bigint as score
+    from (select *, unnest(range(1, size)) as k from counted where size > 1) c
+    join counted x on x.lang = c.lang and x.phrase = c.phrase[1:k]
+    join counted y on y.lang = c.lang and y.phrase = c.phrase[k + 1:c.size]
+),
+lowest as (
+    select * from cuts
+    qualify row_number() over (partition by lang, phrase order by score, k) = 1
+),
+around as (
+    select lang, inner_ as phrase, max(f) as outer_
+    from (
+        select lang, f, phrase[start:start + part - 1] as inner_
+        from (select *, unnest(range(1, size)) as start from counted where size > 2),
+             (select unnest([2, 3]) as part)
+        where part < size and start + part - 1 <= size
+    )
+    group by all
+),
+ranked as (
+    select lowest.*, array_to_string(lowest.phrase, ' ') as spelled
+    from lowest left join around using (lang, phrase)
+    where outer_ is null or 100 * outer_::hugeint < 80 * f::hugeint
+)
+select lang, rank, spelled as phrase, f as a, l, r, n, score
+from (
+    select *, row_number() over (partition by lang order by score desc, f desc, spelled) as rank
+    from ranked
+) join totals using (lang)
+where rank <= 2000
+"""
+
 
 def queries() -> dict[str, Query]:
     named = [
@@ -159,9 +220,10 @@ def queries() -> dict[str, Query]:
         op9_histogram_sharding,
         op10_near_duplicates,
         op11_toxicity,
+        op12_phrase_collocations,
     ]
     return {query.__name__: query for query in named} | {"pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_warc_revisits": OP3_SQL, "op5_line_dedup": OP5_SQL}
+    return {"op3_warc_revisits": OP3_SQL, "op5_line_dedup": OP5_SQL, "op12_phrase_collocations": OP12_SQL}

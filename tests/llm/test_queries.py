@@ -21,7 +21,7 @@ FOLDER = f"{DATA}/sf0.001"
 
 def test_all_are_registered():
     names = list(llm.queries())
-    assert [int(re.match(r"op(\d+)_", n)[1]) for n in names[:-1]] == list(range(1, 12))
+    assert [int(re.match(r"op(\d+)_", n)[1]) for n in names[:-1]] == list(range(1, 13))
     assert names[-1] == "pipeline"
     assert llm.queries().items() <= contract.queries().items()
 
