@@ -13,6 +13,7 @@ from ringledger.llm import (
     dartminhash,
     decontaminate,
     gam,
+    hardnegatives,
     language,
     line_dedup,
     packing,
@@ -102,6 +103,12 @@ def op12_phrase_collocations(spark: SparkSession, folder: str) -> DataFrame:
     return phrases.collocations(_table(spark, folder, "documents").select("lang", "text"))
 
 
+def op13_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    rows = _table(spark, folder, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hardnegatives.hard_negatives(rows.withColumn("label", moved), F.col("id") % 50 == 0)
+
+
 OP3_SQL = r"""
 with hashed as (
     select page_id, coalesce(html, '') as payload, sha1(coalesce(html, '')) as hex from pages
@@ -206,6 +213,33 @@ from (
 where rank <= 2000
 """
 
+OP13_SQL = """
+with vectors as (
+    select vec_id, (case when vec_id % 7 = 0 then (label + 1) % 10 else label end)::bigint as label,
+           list_transform(embedding, lambda x: floor(256 * x::double)) as v
+    from embeddings
+    where vec_id is not null and label is not null and embedding is not null
+      and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+),
+scored as (
+    select a.vec_id as anchor_id, b.vec_id, a.label = b.label as same,
+           list_dot_product(a.v, b.v)::bigint as score
+    from vectors a join vectors b on a.vec_id <> b.vec_id
+    where a.vec_id % 50 = 0
+),
+positives as (
+    select * from scored where same
+    qualify row_number() over (partition by anchor_id order by score desc, vec_id) <= 5
+)
+select anchor_id, p.vec_id as positive_id,
+       (row_number() over (partition by anchor_id, p.vec_id order by n.score desc, n.vec_id))::int
+           as rank,
+       n.vec_id as negative_id, p.score as positive_score, n.score as negative_score
+from positives p join scored n using (anchor_id)
+where not n.same and 50 * p.score <= 100 * n.score and 100 * n.score <= 95 * p.score
+qualify rank <= 3
+"""
+
 
 def queries() -> dict[str, Query]:
     named = [
@@ -221,9 +255,11 @@ def queries() -> dict[str, Query]:
         op10_near_duplicates,
         op11_toxicity,
         op12_phrase_collocations,
+        op13_hard_negatives,
     ]
     return {query.__name__: query for query in named} | {"pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_warc_revisits": OP3_SQL, "op5_line_dedup": OP5_SQL, "op12_phrase_collocations": OP12_SQL}
+    return {"op3_warc_revisits": OP3_SQL, "op5_line_dedup": OP5_SQL, "op12_phrase_collocations": OP12_SQL,
+            "op13_hard_negatives": OP13_SQL}
