@@ -37,7 +37,7 @@ SCALE = 2_000_000
 UNKNOWN = "und"
 
 #: Bytes of text in a chunk, over all languages.
-CHUNK_BYTES = 16 << 20
+CHUNK_BYTES = 8 << 20
 TILE_BITS = 8
 #: Entries from which a tile is counted densely: a sixteenth of its cells.
 DENSE = 1 << (2 * TILE_BITS - 4)
@@ -74,16 +74,23 @@ class _Chunk:
         hashes = np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
         columns = [
             pa.array([word.decode("utf-8", "replace") for word in words], pa.string()),
-            pa.array(hashes.view(np.int64)), pa.array(counts, pa.int64()), pa.array(ids),
+            pa.array(hashes.view(np.int64)), pa.array(counts, pa.int64()),
         ]
         lists = [pa.ListArray.from_arrays(pa.array([0, len(c)], pa.int32()), c) for c in columns]
+        # Only tasks look into the ids, so Spark gets them packed.
+        packed = pa.compress(ids.astype(np.int32).tobytes(), "zstd", asbytes=True)
         return pa.RecordBatch.from_arrays(
-            [pa.array([lang]), *lists], ["lang", "words", "hashes", "counts", "ids"]
+            [pa.array([lang]), *lists, pa.array([len(ids)], pa.int64()), pa.array([packed], pa.binary())],
+            ["lang", "words", "hashes", "counts", "size", "ids"],
         )
 
 
+def unpacked(size: int, ids: bytes) -> np.ndarray:
+    return np.frombuffer(pa.decompress(ids, 4 * size, "zstd"), np.int32)
+
+
 def chunks(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
-    """``lang, words, hashes, counts, ids`` of chunks, from ``lang`` and ``text``.
+    """``lang, words, hashes, counts, size, ids`` of chunks, from ``lang`` and ``text``.
 
     A text is never cut, so a chunk holds a whole text however long it is.
     """
@@ -104,7 +111,7 @@ def chunks(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
 
     return docs.mapInArrow(
         tasks,
-        "lang string, words array<string>, hashes array<long>, counts array<long>, ids array<int>",
+        "lang string, words array<string>, hashes array<long>, counts array<long>, size long, ids binary",
     )
 
 
@@ -259,7 +266,8 @@ def _counted(table: DataFrame, fields: list[np.ndarray], least: int) -> DataFram
         for batch in batches:
             for i in range(batch.num_rows):
                 lang = batch.column("lang")[i].as_py()
-                hashes, ids = (batch.column(c)[i].values.to_numpy() for c in ("hashes", "ids"))
+                hashes = batch.column("hashes")[i].values.to_numpy()
+                ids = unpacked(*(batch.column(c)[i].as_py() for c in ("size", "ids")))
                 rows, counts = count_phrases(lang, hashes, ids, shared.value)
                 for start in range(0, len(rows), 1 << 17):
                     part = rows[start : start + (1 << 17)].view(np.int64)
@@ -270,7 +278,7 @@ def _counted(table: DataFrame, fields: list[np.ndarray], least: int) -> DataFram
                     )
 
     kinds = f"lang string, {', '.join(f'{n} long' for n in names)}, n long"
-    parts = table.select("lang", "hashes", "ids").mapInArrow(tasks, kinds)
+    parts = table.select("lang", "hashes", "size", "ids").mapInArrow(tasks, kinds)
     sums = parts.groupBy("lang", *names).agg(F.sum("n").alias("f")).where(F.col("f") >= least)
     return written(sums.select("lang", F.array(*names).alias("phrase"), "f"), "phrases")
 
