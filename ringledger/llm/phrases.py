@@ -42,7 +42,7 @@ TILE_BITS = 8
 #: Entries from which a tile is counted densely: a sixteenth of its cells.
 DENSE = 1 << (2 * TILE_BITS - 4)
 #: The bit field: its size, and bits set for a phrase.
-FIELD_BITS, FIELD_HASHES = 27, 3
+FIELD_BITS, FIELD_HASHES = 26, 3
 #: Groups that a language's candidates are dealt to before the last ranking.
 SALTS = 32
 
@@ -279,7 +279,9 @@ def _counted(table: DataFrame, fields: list[np.ndarray], least: int) -> DataFram
 
     kinds = f"lang string, {', '.join(f'{n} long' for n in names)}, n long"
     parts = table.select("lang", "hashes", "size", "ids").mapInArrow(tasks, kinds)
-    sums = parts.groupBy("lang", *names).agg(F.sum("n").alias("f")).where(F.col("f") >= least)
+    # A chunk has each phrase once, so a second sum before the shuffle would find nothing.
+    dealt = parts.repartition("lang", *names)
+    sums = dealt.groupBy("lang", *names).agg(F.sum("n").alias("f")).where(F.col("f") >= least)
     return written(sums.select("lang", F.array(*names).alias("phrase"), "f"), "phrases")
 
 
