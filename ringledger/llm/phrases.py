@@ -243,9 +243,11 @@ def count_phrases(
         after = after if len(after) == len(last) else np.r_[after, -1]
         at = np.flatnonzero((begin >= 0) & (last >= 0) & (after >= 0))
         a, b, counts = count_pairs(begin[at], last[at])
-        longer = np.c_[phrases[a], hashes[b]]
         if length == len(fields) + 1:
-            return longer, counts
+            # In order of their beginnings, which then repeat and compress well.
+            order = np.argsort(a * len(hashes) + b)
+            return np.c_[phrases[a[order]], hashes[b[order]]], counts[order]
+        longer = np.c_[phrases[a], hashes[b]]
         keys = _longer(keys[a], hashes[b])
         # Number the phrases at their places, and rank what may be frequent again.
         code, width = a * len(hashes) + b, len(hashes)
