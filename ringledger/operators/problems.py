@@ -5,23 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ringledger.functions.skew import spread_semi_join
+from ringledger.functions.skew import spread_join, spread_semi_join
 from ringledger.operators.windows import DayRange
 
 # Fixed value: the error code of the reports that are matched.
 REPORTED_ERROR = "PR4000"
 
-# What tells rows of a match apart when session and caller are empty.
-SHOWN = [
-    "csOprSessionID",
-    "DateCreated",
-    "ProblemReportID",
-    "OperatorID",
-    "locationcode",
-    "CategoryName",
-    "Notes",
-    "ErrorCode",
-]
 # Columns of a report that appear in the result, beside its session.
 REPORT_FIELDS = [
     "DateCreated",
@@ -68,8 +57,8 @@ def at_company(calls: DataFrame, locations: DataFrame, company: str | None) -> D
     Without a company, calls at any listed location or at the empty one; a call with
     no location at all is left out either way. An unknown company has no calls.
 
-    The codes are joined whatever their number, with a salt, since a location may hold
-    much of the calls.
+    The codes are joined whatever their number; a location that holds much of the calls is
+    spread over tasks by its measured weight.
     """
     if company is not None:
         locations = locations.where(F.col("companyname") == company)
@@ -87,60 +76,104 @@ def connected(calls: DataFrame) -> DataFrame:
 def reported_problems(reports: DataFrame, categories: DataFrame, days: DayRange) -> DataFrame:
     """Distinct reports of the matched error within the range, with their category."""
     return (
-        reports.where(
-            days.reports.covers(F.col("DateCreated")) & (F.col("ErrorCode") == REPORTED_ERROR)
-        )
+        _reported(reports, days)
         .join(categories, "ProblemReportCategoryID")
         .select("SessionID", *REPORT_FIELDS)
         .distinct()
     )
 
 
-def csc_session_match(
-    problems: DataFrame, xref: DataFrame, calls: DataFrame, days: DayRange
+def _reported(reports: DataFrame, days: DayRange) -> DataFrame:
+    in_range = days.reports.covers(F.col("DateCreated"))
+    return reports.where(in_range & (F.col("ErrorCode") == REPORTED_ERROR))
+
+
+def reported_sessions(reports: DataFrame, days: DayRange) -> DataFrame:
+    """Sessions of the reports of the matched error within the range, with copies."""
+    return _reported(reports, days).select("SessionID")
+
+
+def csc_matches(
+    problems: DataFrame,
+    xref: DataFrame,
+    calls: DataFrame,
+    days: DayRange,
+    sessions: DataFrame | None = None,
 ) -> DataFrame:
-    """Reports joined to calls through the session-to-call cross reference.
+    """Both kinds of match in one pass over the calls, each row once except for one case.
+
+    ``problems`` comes from ``reported_problems``; ``calls`` are the connected calls of the
+    slice at the wanted locations. ``sessions`` are the sessions to look for, by default
+    those of ``problems``; others among them do no harm.
 
-    ``problems`` comes from ``reported_problems``; ``calls`` are the connected calls
-    of the slice at the wanted locations.
+    A call is looked up by its id, for the sessions that the cross reference gives it, and
+    by its own session. Rows that both kinds show alike come from an empty session in the
+    cross reference and a call without a caller; they are left to the caller to remove.
+    """
+    wanted = problems.select("SessionID") if sessions is None else sessions
+    keys = _through_xref(wanted, xref).unionByName(_by_session(wanted))
+    return _matched(problems, keys, calls, days, [CALL, SESSION])
 
-    The cross reference is reduced to the reports' sessions and the calls to the calls
-    that are left there, before copies are removed: what is large is shuffled once. Both
-    sides are distinct when they meet, so a session with many copies of a call costs one
-    row, and every pair the last join emits is a result row. Distinct sides and a session
-    in the result make the result distinct as well.
 
-    The reducing joins are salted, and the others shuffle on a key that no aggregation
-    around them shares. That leaves adaptive execution free to split a session or call
-    that holds much of the data.
+def csc_session_match(
+    problems: DataFrame,
+    xref: DataFrame,
+    calls: DataFrame,
+    days: DayRange,
+    sessions: DataFrame | None = None,
+) -> DataFrame:
+    """Reports joined to calls through the session-to-call cross reference, each row once.
+
+    The parameters are those of ``csc_matches``. The cross reference is reduced to the
+    sessions sought and made distinct before it meets the calls, so a session with many
+    copies of a call costs one row.
     """
-    links = spread_semi_join(xref.select("SessionID", "CallID"), problems, "SessionID").distinct()
-    fields = [*PLACE_FIELDS, *CALLER_FIELDS]
-    reached = (
-        spread_semi_join(calls.select("CallID", *fields), links, "CallID")
-        .distinct()
-        .join(links, "CallID")
-        .select("SessionID", *fields)
-        .distinct()
-    )
-    return problems.join(reached, "SessionID").select(
-        *_result(
-            days,
-            session=F.col("SessionID"),
-            caller=[F.col(name).cast("string") for name in CALLER_FIELDS],
-        )
-    )
+    wanted = problems.select("SessionID") if sessions is None else sessions
+    return _matched(problems, _through_xref(wanted, xref), calls, days, [CALL])
 
 
 def csc_direct_match(problems: DataFrame, calls: DataFrame, days: DayRange) -> DataFrame:
-    """Reports joined to calls by the operator's session. Caller fields are blank.
+    """Reports joined to calls by the operator's session, each row once; no caller fields."""
+    return _matched(problems, _by_session(problems.select("SessionID")), calls, days, [SESSION])
+
+
+# Kinds of match, by what a call is looked up by, and the column that holds it.
+CALL, SESSION = "call", "session"
+_LOOKED_UP = {CALL: "CallID", SESSION: "csOprSessionID"}
+
+
+def _through_xref(wanted: DataFrame, xref: DataFrame) -> DataFrame:
+    links = spread_semi_join(xref.select("SessionID", "CallID"), wanted, "SessionID")
+    return links.select(F.lit(CALL).alias("kind"), F.col("CallID").alias("key"), "SessionID")
+
+
+def _by_session(wanted: DataFrame) -> DataFrame:
+    return wanted.select(F.lit(SESSION).alias("kind"), F.col("SessionID").alias("key"), "SessionID")
+
 
-    As above, both sides are distinct before the join, so the result is too.
+def _matched(
+    problems: DataFrame, keys: DataFrame, calls: DataFrame, days: DayRange, kinds: list[str]
+) -> DataFrame:
+    """Reports beside the calls found by ``kind, key, SessionID``.
+
+    Keys and reached calls are distinct when they meet the next side, so copies cost one
+    row and every pair that the last join emits is a result row. The calls are spread by
+    the measured weight of their keys; the last join shuffles on a key that no aggregation
+    around it shares, which leaves adaptive execution free to split a session.
     """
-    places = calls.select(*PLACE_FIELDS).distinct()
-    return problems.join(places, F.col("SessionID") == F.col("csOprSessionID")).select(
-        *_result(days, session=F.lit(""), caller=[F.lit("")] * len(CALLER_FIELDS))
+    through = F.col("kind") == CALL
+    shown = [F.when(through, F.col(name).cast("string")).otherwise("").alias(name) for name in CALLER_FIELDS]
+    looked_up = [F.struct(F.lit(k).alias("kind"), F.col(_LOOKED_UP[k]).alias("key")) for k in kinds]
+    sought = calls.select(*PLACE_FIELDS, *CALLER_FIELDS, F.inline(F.array(*looked_up)))
+    sought = sought.where(F.col("key").isNotNull())
+    reached = (
+        spread_join(sought, keys.distinct(), ["kind", "key"])
+        .select("kind", "SessionID", *PLACE_FIELDS, *shown)
+        .distinct()
     )
+    session = F.when(through, F.col("SessionID")).otherwise("")
+    caller = [F.col(name) for name in CALLER_FIELDS]
+    return problems.join(reached, "SessionID").select(*_result(days, session, caller))
 
 
 def _result(days: DayRange, session: Column, caller: list[Column]) -> list[Column]:
@@ -163,21 +196,3 @@ def _result(days: DayRange, session: Column, caller: list[Column]) -> list[Colum
         user.alias("UserID_Caller"),
         F.col("ErrorCode"),
     ]
-
-
-def either_match(through_xref: DataFrame, direct: DataFrame) -> DataFrame:
-    """Both kinds of match, each row once.
-
-    Either kind is distinct by itself. A row can be in both only if the cross reference
-    has an empty session and its call no caller, so only such rows are looked up.
-    """
-    blank = F.col("SessionID") == ""
-    for name in ("AssistedUserTelephoneNumber", "DialedorReceivedTelephoneNumber", "CallType", "UserID_Caller"):
-        blank = blank & (F.col(name) == "")
-    blank = F.coalesce(blank, F.lit(False))
-    seen = direct.select(*(F.col(c).alias(f"direct_{c}") for c in SHOWN))
-    same = F.lit(True)
-    for name in SHOWN:
-        same = same & F.col(name).eqNullSafe(F.col(f"direct_{name}"))
-    doubtful = through_xref.where(blank).join(seen, same, "left_anti")
-    return through_xref.where(~blank).unionByName(doubtful).unionByName(direct)

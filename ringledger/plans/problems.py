@@ -40,7 +40,9 @@ def csc_report(
     further sort columns let the sort split reports created at the same moment.
     """
     problems = steps.reported_problems(sources.reports, sources.categories, days)
+    sessions = steps.reported_sessions(sources.reports, days)
     calls = candidate_calls(sources, days, company)
-    through_xref = steps.csc_session_match(problems, sources.xref, calls, days)
-    direct = steps.csc_direct_match(problems, calls, days)
-    return steps.either_match(through_xref, direct).orderBy(*ORDER)
+    matches = steps.csc_matches(problems, sources.xref, calls, days, sessions)
+    # Equal rows agree in the sort columns, so one exchange by ranges of these serves both
+    # the removal of copies and the order.
+    return matches.repartitionByRange(*ORDER).distinct().orderBy(*ORDER)
