@@ -10,7 +10,6 @@ from __future__ import annotations
 import sys
 from collections.abc import Callable
 from dataclasses import replace
-from importlib.util import find_spec
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -33,9 +32,9 @@ from ringledger.sources import standins  # noqa: E402
 from ringledger.sources.tables import read_source  # noqa: E402
 
 # The training-text operators are an optional part: without their folder, all else works.
-if find_spec("ringledger.llm") is not None:
+try:
     from ringledger.llm import queries as llm
-else:
+except ImportError:
     llm = None
 
 SMOKE_DIR = "/root/testdata/sf0.001"

@@ -21,6 +21,27 @@ DEFAULT_TASK = "VRS"
 # The tag of each call source.
 VRS, VRI, RELAY = "VRS", "VRI", "ConvoRelay"
 
+# The last columns of the call view, in their order. Before them come the tag,
+# the day, and the other columns in the order of the two schemas.
+LAST_CALL_COLUMNS = [
+    "Branding",
+    "LANGUAGE",
+    "Call_Type",
+    "UserID_Caller",
+    "UserID_Caller_TDN",
+    "Voice_PhoneNumber",
+    "PhoneNumber",
+    "DeviceID",
+    "RLSA_Disp",
+    "RLSA_Disp_Reason",
+]
+CALL_COLUMNS = [
+    "CallData_Type",
+    "Handoff_Date",
+    *(name for name in schemas.RELAY_CALLS if name not in LAST_CALL_COLUMNS),
+    *LAST_CALL_COLUMNS,
+]
+
 
 def activity_time(sessions: DataFrame) -> DataFrame:
     """Logged-in time per session entry, flagged by the entry's start time."""
@@ -59,7 +80,7 @@ def labor_time(schedule: DataFrame) -> DataFrame:
 def split30_all(
     vrs: DataFrame, vri: DataFrame, relay: DataFrame, further: tuple[str, ...] = ()
 ) -> DataFrame:
-    """Half-hour calls of all three sources in one 55-column shape.
+    """Half-hour calls of all three sources in one 55-column shape, in ``CALL_COLUMNS`` order.
 
     ``further`` names columns beyond those, which all three sources must have.
 
@@ -104,11 +125,11 @@ def _tagged(
     replaced: dict[str, str],
     further: tuple[str, ...],
 ) -> DataFrame:
+    columns = {
+        "CallData_Type": f"'{source}'",
+        "Handoff_Date": "cast(Handoff_time as date)",
+        "UserID_Caller_TDN": caller,
+    } | replaced
     return calls.selectExpr(
-        f"'{source}' as CallData_Type",
-        "cast(Handoff_time as date) as Handoff_Date",
-        *schemas.CALL_COMMON,
-        *[f"{replaced.get(name, name)} as {name}" for name in schemas.CALL_SESSION],
-        f"{caller} as UserID_Caller_TDN",
-        *further,
+        *[f"{columns.get(name, name)} as {name}" for name in CALL_COLUMNS], *further
     )

@@ -2,12 +2,14 @@
 
 Each function takes the session and the folder of the parquet test tables and
 returns a DataFrame in the shape of one source table. The mapping is described in
-``FIXTURES.md``. All rows of the test table take part.
+``FIXTURES.md``. All rows of a test table take part: each source takes all of them, but
+for the three call tables, among which they are divided by their kind.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ringledger.functions.timeflags import flag, time_flag_rules
 from ringledger.sources import schemas
@@ -23,7 +25,7 @@ TEST_TABLES = {
     "region": "r_regionkey int, r_name string",
 }
 
-OPERATOR = "user_id % 20"
+OPERATOR = "user_id"
 CENTER = "concat('C', user_id % 5)"
 NUMBER = "cast(event_id as string)"
 VALUE = "floor(value)"
@@ -33,7 +35,10 @@ HALF_HOUR = f"{MIDNIGHT} + make_dt_interval(0, hour(ts), minute(ts) - minute(ts)
 WHOLE_SECOND = f"{MIDNIGHT} + make_dt_interval(0, hour(ts), minute(ts), second(ts))"
 ANSWERED = flag("event_id % 5 = 0")
 ABANDON = flag("event_id % 5 = 1")
-LATE_SESSION = "concat('S', (event_id + 20) div 40)"
+LATE_SESSION = "concat('S', (event_id + 4) div 8)"
+
+# Kinds of event that stand for two kinds of call; all others stand for relay calls.
+VRS_EVENTS, VRI_EVENTS = ("click", "signup"), ("view", "error")
 
 # The task name for each remainder of the event id by 9; 2 has none.
 TASKS = {
@@ -118,7 +123,7 @@ def call_detail(spark: SparkSession, folder: str) -> DataFrame:
     orders = test_table(spark, folder, "orders")
     columns = {
         "OperatorID": "l_suppkey",
-        "UserID_Caller": "o_custkey % 150",
+        "UserID_Caller": "o_custkey",
         "timeWait": "o_orderdate",
         "Outbound": flag("l_returnflag = 'N'"),
         "isReport": flag("l_linestatus = 'O'"),
@@ -128,15 +133,17 @@ def call_detail(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def calls_vrs(spark: SparkSession, folder: str) -> DataFrame:
-    return _shaped(_events(spark, folder, "click"), schemas.RELAY_CALLS, RELAY_CALL)
+    return _shaped(_events(spark, folder, *VRS_EVENTS), schemas.RELAY_CALLS, RELAY_CALL)
 
 
 def calls_vri(spark: SparkSession, folder: str) -> DataFrame:
-    return _shaped(_events(spark, folder, "view"), schemas.REMOTE_CALLS, REMOTE_CALL)
+    return _shaped(_events(spark, folder, *VRI_EVENTS), schemas.REMOTE_CALLS, REMOTE_CALL)
 
 
 def calls_relay(spark: SparkSession, folder: str) -> DataFrame:
-    return _shaped(_events(spark, folder, "purchase"), schemas.RELAY_CALLS, RELAY_CALL)
+    events = test_table(spark, folder, "events")
+    others = F.coalesce(~events.event_type.isin(*VRS_EVENTS, *VRI_EVENTS), F.lit(True))
+    return _shaped(events.where(others), schemas.RELAY_CALLS, RELAY_CALL)
 
 
 def session_history(spark: SparkSession, folder: str) -> DataFrame:
@@ -151,7 +158,7 @@ def session_history(spark: SparkSession, folder: str) -> DataFrame:
         "TeamingTime": "event_id % 100",
         "BreakTime": "if(event_id % 10 = 0, null, event_id % 30)",
     }
-    events = _events(spark, folder, "signup", "click")
+    events = test_table(spark, folder, "events")
     return _shaped(events, schemas.SESSION_HISTORY, columns)
 
 
@@ -168,7 +175,7 @@ def schedule(spark: SparkSession, folder: str) -> DataFrame:
         "TaskName": f"case event_id % 9 {tasks} end",
         "LaborTime": "1800",
     }
-    return _shaped(_events(spark, folder, "signup", "view"), schemas.SCHEDULE, columns)
+    return _shaped(test_table(spark, folder, "events"), schemas.SCHEDULE, columns)
 
 
 def employees(spark: SparkSession, folder: str) -> DataFrame:
@@ -189,13 +196,13 @@ def employees(spark: SparkSession, folder: str) -> DataFrame:
 def problem_reports(spark: SparkSession, folder: str) -> DataFrame:
     columns = {
         "ProblemReportID": "event_id",
-        "SessionID": "concat('S', event_id div 40)",
+        "SessionID": "concat('S', event_id div 8)",
         "ProblemReportCategoryID": "event_id % 4",
         "ProblemReportData": "props",
         "ErrorCode": "if(event_id % 3 = 0, 'PR4000', 'PR1000')",
         "DateCreated": "ts",
     }
-    return _shaped(_events(spark, folder, "error"), schemas.PROBLEM_REPORTS, columns)
+    return _shaped(test_table(spark, folder, "events"), schemas.PROBLEM_REPORTS, columns)
 
 
 def problem_categories(spark: SparkSession, folder: str) -> DataFrame:
@@ -218,12 +225,12 @@ def caption_calls(spark: SparkSession, folder: str) -> DataFrame:
         "Answered": ANSWERED,
         "Abandon": ABANDON,
     }
-    return _shaped(_events(spark, folder, "view"), schemas.CAPTION_CALLS, columns)
+    return _shaped(test_table(spark, folder, "events"), schemas.CAPTION_CALLS, columns)
 
 
 def caption_xref(spark: SparkSession, folder: str) -> DataFrame:
-    columns = {"CallID": NUMBER, "SessionID": "concat('S', event_id div 40)"}
-    return _shaped(_events(spark, folder, "view"), schemas.CAPTION_XREF, columns)
+    columns = {"CallID": NUMBER, "SessionID": "concat('S', event_id div 8)"}
+    return _shaped(test_table(spark, folder, "events"), schemas.CAPTION_XREF, columns)
 
 
 def caption_intervals(spark: SparkSession, folder: str) -> DataFrame:
