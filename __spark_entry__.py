@@ -8,6 +8,7 @@ the same type.
 from __future__ import annotations
 
 import sys
+import uuid
 from collections.abc import Callable
 from dataclasses import replace
 from pathlib import Path
@@ -18,9 +19,11 @@ from pyspark.sql import functions as F
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 from oracle.queries import oracle_sql as _oracle_sql  # noqa: E402
-from ringledger.functions import dates  # noqa: E402
-from ringledger.operators import performance, problems, retention, views  # noqa: E402
+from ringledger.functions import dates, text  # noqa: E402
+from ringledger.functions.materialize import materialize, shared_folder  # noqa: E402
+from ringledger.operators import performance, problems, retention, shifts, views  # noqa: E402
 from ringledger.operators.windows import (  # noqa: E402
+    Window,
     csc_range,
     month_windows,
     resolve_range,
@@ -28,7 +31,7 @@ from ringledger.operators.windows import (  # noqa: E402
 from ringledger.plans import performance as performance_plan  # noqa: E402
 from ringledger.plans import problems as problems_plan  # noqa: E402
 from ringledger.plans import retention as retention_plan  # noqa: E402
-from ringledger.sources import standins  # noqa: E402
+from ringledger.sources import buckets, days, inserts, schemas, standins  # noqa: E402
 from ringledger.sources.tables import read_source  # noqa: E402
 
 # The training-text operators are an optional part: without their folder, all else works.
@@ -99,6 +102,16 @@ def report_queries() -> dict[str, Query]:
         csc_direct_match,
         csc_report,
         csc_report_all_companies,
+        read_source_catalog,
+        activity_in_shift,
+        half_hour_calls,
+        split30_inserted,
+        operator_performance_any_case,
+        operator_performance_sink,
+        operator_performance_stored,
+        csc_report_any_case,
+        csc_session_match_bucketed,
+        caption_slice_by_day,
     ]
     return {query.__name__.removesuffix("_query"): _as_doubles(query) for query in named}
 
@@ -308,8 +321,8 @@ def operator_day(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def enterprise_ratio(spark: SparkSession, folder: str) -> DataFrame:
-    days = operator_day(spark, folder)
-    return performance.enterprise_ratio(days, resolve_range(*PERFORMANCE_DAYS))
+    rows = operator_day(spark, folder)
+    return performance.enterprise_ratio(rows, resolve_range(*PERFORMANCE_DAYS))
 
 
 def operator_performance(spark: SparkSession, folder: str) -> DataFrame:
@@ -365,17 +378,17 @@ def caption_slice(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def csc_session_match(spark: SparkSession, folder: str) -> DataFrame:
-    sources, days = _problem_sources(spark, folder), csc_range(*PROBLEM_DAYS)
-    reported = problems.reported_problems(sources.reports, sources.categories, days)
-    calls = problems_plan.candidate_calls(sources, days, COMPANY)
-    return problems.csc_session_match(reported, sources.xref, calls, days)
+    sources, window = _problem_sources(spark, folder), csc_range(*PROBLEM_DAYS)
+    reported = problems.reported_problems(sources.reports, sources.categories, window)
+    calls = problems_plan.candidate_calls(sources, window, COMPANY)
+    return problems.csc_session_match(reported, sources.xref, calls, window)
 
 
 def csc_direct_match(spark: SparkSession, folder: str) -> DataFrame:
-    sources, days = _problem_sources(spark, folder), csc_range(*PROBLEM_DAYS)
-    reported = problems.reported_problems(sources.reports, sources.categories, days)
-    calls = problems_plan.candidate_calls(sources, days, COMPANY)
-    return problems.csc_direct_match(reported, calls, days)
+    sources, window = _problem_sources(spark, folder), csc_range(*PROBLEM_DAYS)
+    reported = problems.reported_problems(sources.reports, sources.categories, window)
+    calls = problems_plan.candidate_calls(sources, window, COMPANY)
+    return problems.csc_direct_match(reported, calls, window)
 
 
 def csc_report(spark: SparkSession, folder: str) -> DataFrame:
@@ -386,3 +399,132 @@ def csc_report(spark: SparkSession, folder: str) -> DataFrame:
 def csc_report_all_companies(spark: SparkSession, folder: str) -> DataFrame:
     sources = _problem_sources(spark, folder)
     return problems_plan.csc_report(sources, csc_range(*PROBLEM_DAYS))
+
+
+# Sources as they may be stored, and results as they may be kept.
+
+
+def read_source_catalog(spark: SparkSession, folder: str) -> DataFrame:
+    """A source read by a name of three parts."""
+    name = _new_name("orders")
+    spark.sql(f"create table spark_catalog.default.{name} using parquet location '{folder}/orders.parquet'")
+    columns = {"o_orderkey": "bigint", "o_custkey": "bigint", "o_orderstatus": "string"}
+    return read_source(spark, f"spark_catalog.default.{name}", columns)
+
+
+def activity_in_shift(spark: SparkSession, folder: str) -> DataFrame:
+    return shifts.covering_shifts(activity_time(spark, folder), labor_time(spark, folder))
+
+
+def half_hour_calls(spark: SparkSession, folder: str) -> DataFrame:
+    spans = {"SessionTime": ("SessionStart", "SessionEnd"), "ConvoTime": ("ConvoStart", "ConvoEnd")}
+    return shifts.split_half_hours(standins.raw_calls(spark, folder), spans).select(
+        "CallID", "Interval_Time", "First_Interval", "Last_Interval", *spans
+    )
+
+
+def split30_inserted(spark: SparkSession, folder: str) -> DataFrame:
+    """The calls put by position into a table declared in the view's column order."""
+    kinds = {**schemas.RELAY_CALLS, "CallData_Type": "varchar(10)", "Handoff_Date": "date",
+             "UserID_Caller_TDN": "varchar(64)"}
+    declared = {name: kinds[name] for name in views.CALL_COLUMNS}
+    path = _new_path(spark, "calls")
+    inserts.insert(_calls(spark, folder), path, declared)
+    return spark.read.parquet(path)
+
+
+def _any_case(df: DataFrame, columns: list[str], lowered: str) -> DataFrame:
+    """Codes in lower case in the rows where ``lowered`` holds, and case ignored in all."""
+    mixed = {c: F.when(F.expr(lowered), F.lower(c)).otherwise(F.col(c)) for c in columns}
+    return text.collated(df.withColumns(mixed))
+
+
+def _as_lower(df: DataFrame, columns: list[str]) -> DataFrame:
+    """One spelling of the codes, compared byte by byte."""
+    return text.plain(df).withColumns({c: F.lower(c) for c in columns})
+
+
+def operator_performance_any_case(spark: SparkSession, folder: str) -> DataFrame:
+    """The report from sources that spell codes and tasks in either case."""
+    sources = _performance_sources(spark, folder)
+    third = "cast(right(CallID, 1) as int) % 3 = 0"
+    sources = replace(
+        sources,
+        vrs=_any_case(sources.vrs, ["LocationCode"], third),
+        vri=_any_case(sources.vri, ["LocationCode"], third),
+        relay=_any_case(sources.relay, ["LocationCode"], third),
+        sessions=_any_case(sources.sessions, ["CallCenterCode"], "EntryType % 2 = 0"),
+        schedule=_any_case(sources.schedule, ["Station_Name", "TaskName"], "minute(HlfHrStart) = 0"),
+        employees=_any_case(sources.employees, ["Active", "DefaultLocation"], "ExternalID % 2 = 0"),
+    )
+    report = performance_plan.performance_report(sources, resolve_range(*PERFORMANCE_DAYS))
+    return _as_lower(report, ["HomeLocation", "CallCenterCode"])
+
+
+def csc_report_any_case(spark: SparkSession, folder: str) -> DataFrame:
+    """The report from sources that spell codes and sessions in either case."""
+    sources = _problem_sources(spark, folder)
+    third = "cast(right(CallID, 1) as int) % 3 = 0"
+    sources = replace(
+        sources,
+        reports=_any_case(sources.reports, ["SessionID", "ErrorCode"], "ProblemReportID % 2 = 0"),
+        categories=text.collated(sources.categories),
+        calls=_any_case(sources.calls, ["csOprSessionID", "locationcode"], third),
+        xref=_any_case(sources.xref, ["SessionID"], third),
+        intervals=_any_case(sources.intervals, ["companyname", "locationcode"], "locationcode > 'C2'"),
+    )
+    report = problems_plan.csc_report(sources, csc_range(*PROBLEM_DAYS), COMPANY.upper())
+    return _as_lower(report, ["csOprSessionID", "SessionID", "locationcode", "ErrorCode"])
+
+
+def operator_performance_sink(spark: SparkSession, folder: str) -> DataFrame:
+    """The report stored by its day, once for all days and once more for the later ones."""
+    path, report = _new_path(spark, "report"), resolve_range(*PERFORMANCE_DAYS)
+    rows = materialize(operator_performance(spark, folder), "report")
+    days.replace_days(rows, path, "rptDate", report)
+    later = resolve_range("2024-01-15", PERFORMANCE_DAYS[1])
+    days.replace_days(rows.where(later.covers(F.col("rptDate"))), path, "rptDate", later)
+    return days.read_days(spark, path, rows.schema, report)
+
+
+def operator_performance_stored(spark: SparkSession, folder: str) -> DataFrame:
+    """The report from stored sums of its days: all but the last, one of them again, the last."""
+    sources = _performance_sources(spark, folder)
+    store = performance_plan.DayStore(_new_path(spark, "days"))
+    for first, last in (("2024-01-08", "2024-01-20"), ("2024-01-10", "2024-01-10"),
+                        ("2024-01-21", "2024-01-22")):
+        store.refresh(sources, resolve_range(first, last))
+    return store.report(sources.employees, resolve_range(*PERFORMANCE_DAYS))
+
+
+def csc_session_match_bucketed(spark: SparkSession, folder: str) -> DataFrame:
+    """The match through the cross reference, with both tables stored by call."""
+    sources, window = _problem_sources(spark, folder), csc_range(*PROBLEM_DAYS)
+    tables = {}
+    for name in ("xref", "calls"):
+        table = _new_name(name)
+        buckets.write_bucketed(getattr(sources, name), table, _new_path(spark, name), "CallID", 16)
+        tables[name] = spark.table(table)
+    calls = problems.connected(problems.caption_slice(tables["calls"], window))
+    locations = problems.company_locations(sources.intervals)
+    linked = problems.at_company(problems.linked_calls(tables["xref"], calls), locations, COMPANY)
+    reported = problems.reported_problems(sources.reports, sources.categories, window)
+    return problems.csc_linked_match(reported, linked, window)
+
+
+def caption_slice_by_day(spark: SparkSession, folder: str) -> DataFrame:
+    """The slice of a call table that is laid out by day: only its days are read."""
+    path, window = _new_path(spark, "caption"), csc_range(*PROBLEM_DAYS)
+    calls = standins.caption_calls(spark, folder)
+    ends = calls.agg(F.min("Handoff_Time"), F.max("Handoff_Time")).first()
+    whole = Window(*(F.lit(str(end)).cast("timestamp_ntz") for end in ends), closed=True)
+    days.replace_days(calls, path, "Handoff_Time", whole)
+    return problems.caption_slice(days.read_days(spark, path, calls.schema, window.calls), window)
+
+
+def _new_path(spark: SparkSession, label: str) -> str:
+    return f"{shared_folder(spark)}/ringledger/{label}-{uuid.uuid4().hex}"
+
+
+def _new_name(label: str) -> str:
+    return f"{label}_{uuid.uuid4().hex}"

@@ -438,6 +438,59 @@ FINAL = {
 }
 
 
+LOWERED = {
+    "operator_performance": ["HomeLocation", "CallCenterCode"],
+    "csc_report": ["csOprSessionID", "SessionID", "locationcode", "ErrorCode"],
+}
+# Other ways to the same rows.
+SAME = {
+    "read_source_catalog": "read_source_orders",
+    "split30_inserted": "split30_all",
+    "caption_slice_by_day": "caption_slice",
+    "operator_performance_stored": "operator_performance",
+    "operator_performance_sink": "operator_performance",
+    "csc_session_match_bucketed": "csc_session_match",
+}
+FINAL |= {new: FINAL[old] for new, old in SAME.items()} | {
+    f"{name}_any_case": "SELECT * REPLACE ("
+    + ", ".join(f"lower({c}) AS {c}" for c in columns)
+    + f") FROM ({FINAL[name]})"
+    for name, columns in LOWERED.items()
+}
+FLAGS = [
+    "isCoreHours", "isNonCoreHours", "is6to12Hours", "is12to18Hours", "isWeekdayHours",
+    "isSaturdayHours", "isSundayHours",
+]
+FINAL["activity_in_shift"] = f"""
+    SELECT a.*, ShiftDate, Interval_Begin, ShiftStart, ShiftEnd, OperatorName, LaborTime_Secs,
+           TaskType, IsBenchmarkTask, l.CallCenterCode AS Shift_CallCenterCode,
+           {", ".join(f"l.{name} AS Shift_{name}" for name in FLAGS)}
+    FROM activity AS a LEFT JOIN labor AS l
+      ON a.OperatorID = l.OperatorID AND ShiftStart <= Activity_Begin_Time
+     AND Activity_Begin_Time < ShiftEnd"""
+FINAL["half_hour_calls"] = """
+    SELECT CallID, slot AS Interval_Time,
+           CAST(slot = first_slot AS INTEGER) AS First_Interval,
+           CAST(slot = last_slot AS INTEGER) AS Last_Interval,
+           CASE WHEN SessionStart <= SessionEnd THEN greatest(0, date_diff('microsecond',
+               greatest(SessionStart, slot), least(SessionEnd, slot + INTERVAL 30 MINUTE)))
+               / 1e6 END AS SessionTime,
+           CASE WHEN ConvoStart <= ConvoEnd THEN greatest(0, date_diff('microsecond',
+               greatest(ConvoStart, slot), least(ConvoEnd, slot + INTERVAL 30 MINUTE)))
+               / 1e6 END AS ConvoTime
+    FROM (
+        SELECT *, unnest(generate_series(first_slot, last_slot, INTERVAL 30 MINUTE)) AS slot
+        FROM (
+            SELECT *, time_bucket(INTERVAL 30 MINUTE, started) AS first_slot,
+                   time_bucket(INTERVAL 30 MINUTE,
+                       greatest(started, ended - INTERVAL 1 MICROSECOND)) AS last_slot
+            FROM (
+                SELECT *, SessionStart AS started,
+                       CASE WHEN ConvoStart <= ConvoEnd THEN greatest(SessionEnd, ConvoEnd)
+                            ELSE SessionEnd END AS ended
+                FROM raw_calls)))"""
+
+
 def oracle_sql() -> dict[str, str]:
     """Each final query with the steps it uses, directly or through other steps."""
     found = {name: _with_steps(sql) for name, sql in FINAL.items()}

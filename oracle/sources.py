@@ -79,6 +79,12 @@ SOURCES = {
                CAST({VALUE} + event_id % 60 AS INTEGER) AS ConvoTime, {VALUE} AS r_ConvoTime,
                {PHONE} AS Video_PhoneNumber
         FROM events WHERE event_type IN ('view', 'error')""",
+    "raw_calls": f"""
+        SELECT {NUMBER} AS CallID, ts AS SessionStart,
+               ts + to_seconds({VALUE} * 30) AS SessionEnd,
+               CASE WHEN event_id % 17 <> 0 THEN ts + INTERVAL 20 SECOND END AS ConvoStart,
+               ts + to_seconds({VALUE} * 30 - 5) AS ConvoEnd
+        FROM events""",
     "session_history": f"""
         SELECT {OPERATOR} AS OperatorID, {CENTER} AS CallCenterCode, {DAY} AS "Date",
                date_trunc('second', ts) AS AdjStartTime,

@@ -16,6 +16,7 @@ from ringledger.functions.dates import (
     seconds_between,
 )
 from ringledger.functions.numbering import number_rows
+from ringledger.functions.text import BYTES, as_key
 from ringledger.functions.timeflags import (
     ACTIVITY,
     BUCKETS,
@@ -118,12 +119,95 @@ def bucket_calls(
     """
     return (
         calls.where(report.covers(F.col(time_col)) & F.col("OperatorID").isNotNull())
-        .groupBy(*_keys("LocationCode", "OperatorID", midnight(F.col(date_col))))
+        .groupBy(*_keys(calls, "LocationCode", "OperatorID", midnight(F.col(date_col))))
         .agg(*bucket_sums("ConvoTime", CONVO), *bucket_sums("SessionTime", SESSION))
         .selectExpr(*KEYS, *in_units(CONVO, MINUTE), *in_units(SESSION, MINUTE))
     )
 
 
+# Sums of single days, which add up to those of any range of whole days. Each has the day
+# that its rows were selected by, in ``run_day``; a call's may differ from the day it is
+# filed under.
+RUN_DAY = "run_day"
+
+
+def call_sums(
+    calls: DataFrame,
+    report: Window,
+    time_col: str = "Handoff_time",
+    date_col: str = "Handoff_Date",
+) -> DataFrame:
+    """Seconds behind ``bucket_calls``, per day of hand-off."""
+    day = midnight(F.col(time_col)).alias(RUN_DAY)
+    return (
+        calls.where(report.covers(F.col(time_col)) & F.col("OperatorID").isNotNull())
+        .groupBy(*_keys(calls, "LocationCode", "OperatorID", midnight(F.col(date_col))), day)
+        .agg(*bucket_sums("ConvoTime", CONVO), *bucket_sums("SessionTime", SESSION))
+    )
+
+
+def session_sums(sessions: DataFrame, report: Window) -> DataFrame:
+    """Seconds behind ``session_days``, per day, those filed at midnight apart.
+
+    A range counts the entries filed at the midnight that it ends with, but not their login
+    time, so it needs them by themselves.
+    """
+    worked = "if(Date = Handoff_Date, LoginTime + TeamingTime - BreakTime, null)"
+    entries = _entries(sessions.where(report.covers(F.col("Date"))), report)
+    at_midnight = F.expr("Date = Handoff_Date").alias("at_midnight")
+    return (
+        entries.groupBy(*KEYS, F.col("Handoff_Date").alias(RUN_DAY), at_midnight)
+        .agg(*_entry_sums(), *bucket_sums(worked, ACTIVITY))
+    )
+
+
+def labor_sums(labor: DataFrame, report: Window) -> DataFrame:
+    """Seconds behind ``labor_hours``, per day and name."""
+    return _labor_by_name(labor, report, midnight(F.col("ShiftDate")).alias(RUN_DAY))
+
+
+def bucket_calls_of(sums: DataFrame) -> DataFrame:
+    """``bucket_calls`` from ``call_sums``."""
+    return (
+        sums.groupBy(*KEYS)
+        .agg(*_added(CONVO), *_added(SESSION))
+        .selectExpr(*KEYS, *in_units(CONVO, MINUTE), *in_units(SESSION, MINUTE))
+    )
+
+
+def session_days_of(sums: DataFrame, report: Window) -> DataFrame:
+    """``session_days`` from ``session_sums`` of the range and the day it ends on."""
+    inside = F.col(RUN_DAY) < report.stop
+    within = sums.withColumns(
+        {name: F.when(inside, F.col(name)) for name in _measures_of(ACTIVITY)}
+    )
+    counted = inside | ((F.col(RUN_DAY) == report.stop) & F.col("at_midnight"))
+    return (
+        within.where((F.col(RUN_DAY) >= report.start) & counted)
+        .groupBy(*KEYS)
+        .agg(*(F.sum(name).alias(name) for name in ENTRY_MINUTES), *_added(ACTIVITY))
+        .selectExpr(*KEYS, *_entry_minutes(), *in_units(ACTIVITY, MINUTE))
+    )
+
+
+def labor_hours_of(sums: DataFrame) -> DataFrame:
+    """``labor_hours`` from ``labor_sums``."""
+    return (
+        sums.groupBy(*KEYS, "OperatorName").agg(*_added(LABOR))
+        .groupBy(*KEYS)
+        .agg(F.min("OperatorName").alias("OperatorName"), *_added(LABOR))
+        .selectExpr(*KEYS, "OperatorName", *in_units(LABOR, HOUR))
+    )
+
+
+def _measures_of(measure: str) -> list[str]:
+    return [measure_name(bucket, measure) for bucket in BUCKETS]
+
+
+def _added(measure: str) -> list[Column]:
+    return [F.sum(name).alias(name) for name in _measures_of(measure)]
+
+
 def call_data(buckets: DataFrame, sessions: DataFrame) -> DataFrame:
     """Call minutes of the operator-days that also have a session."""
     return buckets.join(sessions, KEYS)
@@ -135,25 +219,24 @@ def labor_hours(labor: DataFrame, report: Window) -> DataFrame:
     Spark aggregates text minima by sorting. Grouping by name first keeps the large
     aggregation a hash aggregation, and leaves only a row per name to sort.
     """
-    by_name = (
-        labor.where(report.covers(F.col("ShiftDate")) & (F.col("IsBenchmarkTask") == 1))
-        .groupBy(
-            *_keys("CallCenterCode", "OperatorID", as_time(F.col("ShiftDate"))),
-            "OperatorName",
-        )
-        .agg(*bucket_sums("LaborTime_Secs", LABOR))
-    )
-    names = [measure_name(bucket, LABOR) for bucket in BUCKETS]
     return (
-        by_name.groupBy(*KEYS)
-        .agg(
-            F.min("OperatorName").alias("OperatorName"),
-            *[F.expr(f"sum({name}) as {name}") for name in names],
-        )
+        _labor_by_name(labor, report)
+        .groupBy(*KEYS)
+        .agg(F.min("OperatorName").alias("OperatorName"), *_added(LABOR))
         .selectExpr(*KEYS, "OperatorName", *in_units(LABOR, HOUR))
     )
 
 
+def _labor_by_name(labor: DataFrame, report: Window, *further: Column) -> DataFrame:
+    keys = _keys(labor, "CallCenterCode", "OperatorID", as_time(F.col("ShiftDate")))
+    name = F.collate("OperatorName", BYTES).alias("OperatorName")
+    return (
+        labor.where(report.covers(F.col("ShiftDate")) & (F.col("IsBenchmarkTask") == 1))
+        .groupBy(*keys, name, *further)
+        .agg(*bucket_sums("LaborTime_Secs", LABOR))
+    )
+
+
 def login_minutes(activity: DataFrame, report: Window) -> DataFrame:
     """Login plus teaming less break minutes by time bucket.
 
@@ -162,7 +245,7 @@ def login_minutes(activity: DataFrame, report: Window) -> DataFrame:
     worked = "LoginTime_Secs + TeamingTime_Secs - BreakTime_Secs"
     return (
         activity.where(report.covers(F.col("Activity_Date")))
-        .groupBy(*_keys("CallCenterCode", "OperatorID", as_time(F.col("Activity_Date"))))
+        .groupBy(*_keys(activity, "CallCenterCode", "OperatorID", as_time(F.col("Activity_Date"))))
         .agg(*bucket_sums(worked, ACTIVITY))
         .selectExpr(*KEYS, *in_units(ACTIVITY, MINUTE))
     )
@@ -187,10 +270,10 @@ def employee_data(call_days: DataFrame, employees: DataFrame, end: When) -> Data
         employees.where(F.col("EmployeeName").isNotNull())
         .join(operators, F.col("ExternalID") == F.col("OperatorID"))
         .select(
-            F.col("EmployeeName").alias("Employee_Name"),
+            F.collate("EmployeeName", BYTES).alias("Employee_Name"),
             "OperatorID",
             F.col("ADP_ID").cast("int").alias("ADP_ID"),
-            "DefaultLocation",
+            as_key(employees, "DefaultLocation").alias("DefaultLocation"),
             "StaffType",
             F.col("Language").alias("LanguageSkill"),
             hired.alias("HireDate"),
@@ -265,7 +348,7 @@ def _entries(sessions: DataFrame, report: Window) -> DataFrame:
     """Session entries of the range with their day, length in seconds and time flags."""
     columns = ["Date", "EntryType", "LoginTime", "TeamingTime", "BreakTime"]
     return sessions.where(F.col("Date").between(report.start, report.stop)).select(
-        *_keys("CallCenterCode", "OperatorID", midnight(F.col("Date"))),
+        *_keys(sessions, "CallCenterCode", "OperatorID", midnight(F.col("Date"))),
         seconds_between(F.col("AdjStartTime"), F.col("AdjEndTime")).alias("seconds"),
         report.covers(F.col("Date")).alias("in_range"),
         *map(F.expr, [*columns, *time_flags("AdjStartTime")]),
@@ -283,8 +366,8 @@ def _entry_minutes() -> list[str]:
     return [f"cast({name} / {MINUTE} as {MINUTES}) as {name}" for name in ENTRY_MINUTES]
 
 
-def _keys(center: str, operator: str, day: Column) -> list[Column]:
-    columns = [F.col(center), F.col(operator), day]
+def _keys(df: DataFrame, center: str, operator: str, day: Column) -> list[Column]:
+    columns = [as_key(df, center), F.col(operator), day]
     return [column.alias(key) for column, key in zip(columns, KEYS)]
 
 

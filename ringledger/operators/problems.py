@@ -137,6 +137,25 @@ def csc_direct_match(problems: DataFrame, calls: DataFrame, days: DayRange) -> D
     return _matched(problems, _by_session(problems.select("SessionID")), calls, days, [SESSION])
 
 
+def linked_calls(xref: DataFrame, calls: DataFrame) -> DataFrame:
+    """The calls of each session of the cross reference, once: ``SessionID`` and call columns.
+
+    Where both tables are stored in the same buckets of ``CallID``, nothing here is
+    shuffled: copies go within a bucket, and buckets meet their like.
+    """
+    fields = ["CallID", *PLACE_FIELDS, *CALLER_FIELDS]
+    links = xref.select("SessionID", "CallID").distinct()
+    return links.join(calls.select(*fields).distinct(), "CallID")
+
+
+def csc_linked_match(problems: DataFrame, linked: DataFrame, days: DayRange) -> DataFrame:
+    """``csc_session_match`` from ``linked_calls``, for tables stored by call."""
+    fields = [*PLACE_FIELDS, *CALLER_FIELDS]
+    reached = linked.select("SessionID", *fields).distinct()
+    caller = [F.col(name).cast("string") for name in CALLER_FIELDS]
+    return problems.join(reached, "SessionID").select(*_result(days, F.col("SessionID"), caller))
+
+
 # Kinds of match, by what a call is looked up by, and the column that holds it.
 CALL, SESSION = "call", "session"
 _LOOKED_UP = {CALL: "CallID", SESSION: "csOprSessionID"}

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+from ringledger.functions.text import alike
 from ringledger.functions.timeflags import flag, time_flags
 from ringledger.sources import schemas
 
@@ -111,11 +112,14 @@ def split30_all(
         "RLSA_Disp": "'C'",
         "RLSA_Disp_Reason": "'VRI'",
     }
-    return (
-        _tagged(vrs, VRS, caller, {}, further)
-        .unionByName(_tagged(vri, VRI, caller, remote, further))
-        .unionByName(_tagged(relay, RELAY, relay_caller, {}, further))
+    first, second, third = alike(
+        [
+            _tagged(vrs, VRS, caller, {}, further),
+            _tagged(vri, VRI, caller, remote, further),
+            _tagged(relay, RELAY, relay_caller, {}, further),
+        ]
     )
+    return first.unionByName(second).unionByName(third)
 
 
 def _tagged(

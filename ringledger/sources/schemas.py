@@ -119,3 +119,9 @@ CAPTION_CALLS = {
 CAPTION_XREF = {"CallID": TEXT, "SessionID": TEXT}
 
 CAPTION_INTERVALS = {"companyname": TEXT, "locationcode": TEXT}
+
+# Calls before they are cut into half hours.
+RAW_CALLS = {
+    "CallID": TEXT,
+    **_each("SessionStart SessionEnd ConvoStart ConvoEnd", TIME),
+}

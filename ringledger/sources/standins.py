@@ -146,6 +146,18 @@ def calls_relay(spark: SparkSession, folder: str) -> DataFrame:
     return _shaped(events.where(others), schemas.RELAY_CALLS, RELAY_CALL)
 
 
+def raw_calls(spark: SparkSession, folder: str) -> DataFrame:
+    """Calls of some seconds to hours; the conversation of a short one has no length, or less."""
+    columns = {
+        "CallID": NUMBER,
+        "SessionStart": "ts",
+        "SessionEnd": f"ts + make_dt_interval(0, 0, 0, {VALUE} * 30)",
+        "ConvoStart": "if(event_id % 17 = 0, null, ts + interval 20 second)",
+        "ConvoEnd": f"ts + make_dt_interval(0, 0, 0, {VALUE} * 30 - 5)",
+    }
+    return _shaped(test_table(spark, folder, "events"), schemas.RAW_CALLS, columns)
+
+
 def session_history(spark: SparkSession, folder: str) -> DataFrame:
     columns = {
         "OperatorID": OPERATOR,

@@ -5,18 +5,26 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ringledger.functions.text import collated
+
 
 def read_source(
-    spark: SparkSession, location: str, columns: dict[str, str], zone: str | None = None
+    spark: SparkSession,
+    location: str,
+    columns: dict[str, str],
+    zone: str | None = None,
+    collation: str | None = None,
 ) -> DataFrame:
     """Read a source with exactly the named columns and types.
 
     ``location`` is a table name of up to three parts (``catalog.schema.table``),
     which may also be a view, or a parquet path (anything with a slash). ``zone`` is
-    where the source's clock stands, if it has times with a zone.
+    where the source's clock stands, if it has times with a zone. With a ``collation``,
+    such as ``text.ANY_CASE``, its texts compare by that.
     """
     raw = spark.read.parquet(location) if "/" in location else spark.table(location)
-    return typed(raw, columns, zone)
+    df = typed(raw, columns, zone)
+    return df if collation is None else collated(df, collation)
 
 
 def typed(df: DataFrame, columns: dict[str, str], zone: str | None = None) -> DataFrame:

@@ -1,0 +1,169 @@
+from __future__ import annotations
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from ringledger.functions.text import ANY_CASE, alike, collated, plain
+from ringledger.operators import performance, problems, views
+from ringledger.operators.windows import csc_range, resolve_range
+from ringledger.plans.problems import csc_report
+from ringledger.sources import schemas
+from ringledger.sources.inserts import by_position, insert
+from ringledger.sources.tables import read_source
+from tests.conftest import physical_plan
+from tests.test_problems import PLACES, hot_data, sources
+
+
+def shouted(rnd, value):
+    return rnd.choice([value.lower(), value.upper(), value]) if isinstance(value, str) else value
+
+
+def test_text_columns_only(spark):
+    df = spark.sql("select 'a' t, 1 n, array('x') l, null v, 'b' `odd name`")
+    found = collated(df)
+    assert [k for _, k in found.dtypes] == ["string collate UTF8_LCASE", "int", "array<string>", "void",
+                                            "string collate UTF8_LCASE"]
+    assert plain(found).dtypes == df.dtypes
+    assert collated(df, columns=["odd name"]).dtypes[0] == ("t", "string")
+
+
+def test_filters_joins_groups_and_lists_ignore_case(spark):
+    df = collated(spark.sql("select * from values ('C1', 1), ('c1', 2), ('C2', 4), (null, 8) t(code, n)"))
+    other = collated(spark.sql("select * from values ('c1'), ('c2') t(code)"))
+    assert df.where("code = 'c1'").count() == 2 and df.where("code in ('c1', 'c2')").count() == 3
+    assert df.where("code != 'C1'").count() == 1
+    assert sorted(r[0] for r in df.groupBy("code").agg(F.sum("n")).select("sum(n)").collect()) == [3, 4, 8]
+    assert df.join(other, "code").count() == 3 and df.select("code").distinct().count() == 3
+
+
+def test_a_union_takes_the_collation_of_either_side(spark):
+    a = spark.sql("select 'A' x, 'B' y")
+    first, second = alike([a, collated(a, columns=["y"])])
+    assert first.dtypes == second.dtypes and first.union(second).dtypes[1][1].endswith(ANY_CASE)
+    assert [df.dtypes for df in alike([a, a])] == [a.dtypes, a.dtypes]
+
+
+def test_a_source_may_be_read_without_regard_to_case(spark, table, tmp_path):
+    table("CAPTION_INTERVALS", [{"companyname": "A", "locationcode": "c1"}]).write.parquet(str(tmp_path / "t"))
+    found = read_source(spark, str(tmp_path / "t"), schemas.CAPTION_INTERVALS, collation=ANY_CASE)
+    assert found.where("companyname = 'a' and locationcode = 'C1'").count() == 1
+
+
+def test_tasks_and_centres_in_any_case_give_the_same_sums_with_one_shuffle(table, conf):
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    rnd = random.Random(2)
+    rows = [
+        {"Date": "2024-01-08", "HlfHrStart": "2024-01-08 09:00", "adjShiftStart": "2024-01-08 09:00",
+         "adjShiftEnd": "2024-01-08 09:30", "Emp_ID": i % 7, "Employee_Name": f"n{i % 7}",
+         "Station_Name": f"C{i % 3}", "TaskName": [*views.BENCHMARK_TASKS, "Lunch", "VRI", None][i % 9],
+         "LaborTime": i}
+        for i in range(300)
+    ]
+    from datetime import datetime
+
+    for r in rows:
+        r.update({k: datetime.fromisoformat(v) for k, v in r.items() if isinstance(v, str) and v[:2] == "20"})
+    mixed = [{**r, "Station_Name": shouted(rnd, r["Station_Name"]), "TaskName": shouted(rnd, r["TaskName"])}
+             for r in rows]
+    report = resolve_range("2024-01-08", "2024-01-08")
+
+    def sums(rows_, any_case):
+        schedule = table("SCHEDULE", rows_)
+        labor = views.labor_time(collated(schedule) if any_case else schedule)
+        return performance.labor_hours(labor, report)
+
+    def lowered(df):
+        return sorted((str(r[0]).lower(), *r[1:]) for r in plain(df).collect())
+
+    assert lowered(sums(mixed, True)) == lowered(sums(rows, False))
+    assert lowered(sums(mixed, False)) != lowered(sums(rows, False))
+
+    def exchanges(any_case):
+        hours = sums(mixed, any_case)
+        return physical_plan(hours.join(hours.select(*performance.KEYS), performance.KEYS)).count("Exchange hash")
+
+    assert exchanges(True) == exchanges(False)
+
+
+@pytest.mark.parametrize("threshold", ["10MB", "-1"])
+def test_problem_report_in_any_case(table, conf, threshold):
+    """Mixed codes under the collation give the rows of the codes in one case."""
+    conf("spark.sql.autoBroadcastJoinThreshold", threshold)
+    conf("spark.sql.adaptive.autoBroadcastJoinThreshold", threshold)
+    rnd, days = random.Random(8), csc_range("2024-01-05", "2024-01-06")
+    reports, calls, links = hot_data(9)
+    low = lambda rows, *names: [{k: shouted(rnd, v) if k in names else v for k, v in r.items()} for r in rows]
+    mixed = sources(
+        table, low(reports, "SessionID", "ErrorCode"), low(calls, "CallID", "csOprSessionID", "locationcode"),
+        [(shouted(rnd, c), shouted(rnd, s)) for c, s in links],
+        [(shouted(rnd, c), shouted(rnd, p)) for c, p in PLACES],
+    )
+    any_case = problems_of(mixed)
+    codes = ["csOprSessionID", "SessionID", "locationcode", "ErrorCode"]
+
+    def rows(df):
+        return sorted(map(tuple, plain(df).withColumns({c: F.lower(c) for c in codes}).collect()))
+
+    expected = rows(csc_report(sources(table, reports, calls, links), days, "A"))
+    assert expected and rows(csc_report(any_case, days, "a")) == expected
+
+
+def problems_of(data):
+    return type(data)(**{name: collated(df) for name, df in data.__dict__.items()})
+
+
+# Positional inserts.
+
+
+def test_columns_go_by_place_not_by_name(spark):
+    df = spark.sql("select 1 b, 'x' a, 2 b")
+    found = by_position(df, {"a": "bigint", "b": "string", "c": "decimal(5,1)"})
+    assert found.dtypes == [("a", "bigint"), ("b", "string"), ("c", "decimal(5,1)")]
+    assert tuple(found.first()) == (1, "x", 2)
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+@pytest.mark.parametrize(
+    "value, kind",
+    [("40000", "smallint"), ("cast(12345.6 as decimal(10,1))", "decimal(5,1)"), ("1e10d", "int"),
+     ("'abcdef'", "varchar(5)"), ("double('NaN')", "int")],
+)
+def test_a_value_that_does_not_fit_fails(spark, conf, ansi, value, kind):
+    conf("spark.sql.ansi.enabled", ansi)
+    with pytest.raises(Exception, match="does not fit"):
+        by_position(spark.sql(f"select {value} v"), {"v": kind}).collect()
+
+
+def test_what_fits_is_stored(spark):
+    df = spark.sql("select 1.25 a, 'ab ' b, timestamp_ntz'2024-01-05 10:00' c, cast(null as int) d, null e, 7 f, 2.0d g")
+    kinds = {"a": "decimal(4,1)", "b": "varchar(2)", "c": "date", "d": "tinyint", "e": "date", "f": "string",
+             "g": "int"}
+    row = by_position(df, kinds).first()
+    assert (str(row["a"]), row["b"], str(row["c"]), row["d"], row["e"], row["f"], row["g"]) == (
+        "1.3", "ab ", "2024-01-05", None, None, "7", 2)
+
+
+def test_wrong_shapes_are_refused_at_once(spark):
+    df = spark.sql("select 'a' x")
+    with pytest.raises(ValueError):
+        by_position(df, {"x": "string", "y": "int"})
+    with pytest.raises(TypeError):
+        by_position(df, {"x": "int"})
+
+
+def test_inserts_add_up_in_the_declared_order(spark, tmp_path):
+    path, kinds = str(tmp_path / "t"), {"n": "bigint", "t": "string"}
+    insert(spark.sql("select 1 a, 'x' b"), path, kinds)
+    insert(spark.sql("select 2 t, 'y' n"), path, kinds)
+    stored = spark.read.parquet(path)
+    assert stored.columns == ["n", "t"] and sorted(map(tuple, stored.collect())) == [(1, "x"), (2, "y")]
+
+
+def test_the_call_view_has_its_own_column_order(table):
+    calls = views.split30_all(table("RELAY_CALLS", []), table("REMOTE_CALLS", []), table("RELAY_CALLS", []))
+    names = calls.columns
+    assert len(names) == 55 and names[:4] == ["CallData_Type", "Handoff_Date", "Interval_Time", "CallID"]
+    assert names[names.index("csoprAcceptTime") + 1] == "SessionStart"
+    assert names[names.index("BillableTime") + 1 :] == views.LAST_CALL_COLUMNS
