@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+from itertools import chain
 
 import numpy as np
 
@@ -37,11 +38,15 @@ class WordTokenizer:
 
     def clear(self) -> None:
         self.vocabulary = Vocabulary()
-        self.stems: dict[bytes, list[int]] = {}
-        self.flat = np.zeros(0, np.uint32)
         self.lengths = np.zeros(0, np.int64)
         self.offsets = np.zeros(0, np.int64)
+        self.flat = np.zeros(0, np.uint32)
         self.ends = np.zeros(0, bool)
+        # Words fall into two pieces each, of which there are far fewer.
+        self.pieces = Vocabulary()
+        self.piece_lengths = np.zeros(0, np.int64)
+        self.piece_offsets = np.zeros(0, np.int64)
+        self.piece_flat = np.zeros(0, np.uint32)
 
     def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """All ids, where each text starts in them (and the end), and where sentences end."""
@@ -50,36 +55,73 @@ class WordTokenizer:
         words, starts = self.vocabulary.number(texts)
         self._learn(self.vocabulary.words[len(self.lengths) :])
         lengths = self.lengths[words]
+        ids = self.flat[_runs(self.offsets[words], lengths)]
         after = np.cumsum(lengths)
-        first = np.repeat(self.offsets[words] - (after - lengths), lengths)
-        ids = self.flat[first + np.arange(len(first))]
         bounds = np.r_[0, after][starts]
         return ids, bounds, np.unique(after[self.ends[words]])
 
     def _learn(self, words: list[bytes]) -> None:
         if not words:
             return
-        split = [_parts(word) for word in words]
-        new = list(dict.fromkeys(x for pair in split for x in pair if x not in self.stems))
-        texts = [stem.decode("utf-8", "replace") for stem in new]
-        for stem, found in zip(new, self.tokenizer.encode_batch(texts, add_special_tokens=False)):
-            self.stems[stem] = found.ids
-        ids = [self.stems[a] + self.stems[b] for a, b in split]
-        lengths = np.fromiter(map(len, ids), np.int64, len(ids))
-        base = len(self.flat)
-        self.offsets = np.r_[self.offsets, base + np.cumsum(lengths) - lengths]
+        number = self.pieces.__getitem__
+        stems, tails = _parts(words)
+        pairs = np.empty((len(words), 2), np.int64)
+        pairs[:, 0] = np.fromiter(map(number, stems), np.int64, len(words))
+        pairs[:, 1] = np.fromiter(map(number, tails), np.int64, len(words))
+        self._learn_pieces(self.pieces.words[len(self.piece_lengths) :])
+        each = self.piece_lengths[pairs]
+        flat = self.piece_flat[_runs(self.piece_offsets[pairs.ravel()], each.ravel())]
+        lengths = each.sum(axis=1)
+        self.offsets = np.r_[self.offsets, len(self.flat) + np.cumsum(lengths) - lengths]
         self.lengths = np.r_[self.lengths, lengths]
-        self.flat = np.r_[self.flat, np.fromiter((i for x in ids for i in x), np.uint32)]
-        self.ends = np.r_[self.ends, np.fromiter((w[-1] in _ENDS for w in words), bool)]
-
-
-def _parts(word: bytes) -> tuple[bytes, bytes]:
-    """The word in lower case and its final punctuation, where that changes no id."""
-    if b"<|" in word:  # the names of special tokens keep their case
-        return word, b""
-    word = word.lower()
-    stem = word.rstrip(_TAIL)
-    last = stem.decode("utf-8", "replace")[-1:]
-    if not (last.isalpha() or last.isascii() and last.isdigit()):
-        return word, b""
-    return stem, word[len(stem) :]
+        self.flat = np.r_[self.flat, flat]
+        self.ends = np.r_[self.ends, _ENDING[_last(words)]]
+
+    def _learn_pieces(self, pieces: list[bytes]) -> None:
+        if not pieces:
+            return
+        texts = [piece.decode("utf-8", "replace") for piece in pieces]
+        found = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        lengths = np.fromiter(map(len, found), np.int64, len(found))
+        flat = np.fromiter(chain.from_iterable(found), np.uint32, int(lengths.sum()))
+        offsets = len(self.piece_flat) + np.cumsum(lengths) - lengths
+        self.piece_offsets = np.r_[self.piece_offsets, offsets]
+        self.piece_lengths = np.r_[self.piece_lengths, lengths]
+        self.piece_flat = np.r_[self.piece_flat, flat]
+
+
+def _runs(offsets: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The places ``offsets[i], offsets[i] + 1, ...`` of all runs in turn."""
+    before = np.cumsum(lengths) - lengths
+    return np.repeat(offsets - before, lengths) + np.arange(int(lengths.sum()))
+
+
+def _last(words: list[bytes]) -> np.ndarray:
+    """The last byte of each word, 0 for an empty one."""
+    return np.frombuffer(b"".join([word[-1:] or b"\0" for word in words]), np.uint8)
+
+
+def _among(members: bytes) -> np.ndarray:
+    table = np.zeros(256, bool)
+    table[list(members)] = True
+    return table
+
+
+_ENDING = _among(_ENDS)
+_ALNUM = _among(bytes(c for c in range(128) if chr(c).isalnum()))
+
+
+def _parts(words: list[bytes]) -> tuple[list[bytes], list[bytes]]:
+    """The words in lower case and their final punctuation, where that changes no id."""
+    joined = b"\n".join(words)  # there is no line end in a word
+    low = joined.lower().split(b"\n")
+    stems = [word.rstrip(_TAIL) for word in low]
+    last = _last(stems)
+    for i in np.flatnonzero(~_ALNUM[last]).tolist():  # a letter beyond ASCII, or no letter
+        if last[i] < 128 or not stems[i].decode("utf-8", "replace")[-1:].isalpha():
+            stems[i] = low[i]
+    if b"<|" in joined:
+        for i, word in enumerate(words):
+            if b"<|" in word:  # the names of special tokens keep their case
+                low[i] = stems[i] = word
+    return stems, [word[len(stem) :] for word, stem in zip(low, stems)]
