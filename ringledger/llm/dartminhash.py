@@ -11,9 +11,13 @@ weighted Jaccard similarity, and the work is linear in the shingles plus k ln k.
 Equal texts are one node. Signatures are cut into bands; texts that share a band are
 candidates. All members of a band's bucket are first compared to its smallest member only,
 and the similar ones are joined to components. What is left are buckets with several
-components; there, all pairs across components are compared that have one text outside the
-bucket's largest component. Buckets with many such texts are first split by a second band.
-Comparing means the exact similarity of the texts.
+components: texts around a shared passage or a much edited original, most of them not
+similar enough. Their texts are compared to the member of the bucket with the fewest
+shingles of its own, which links most of what there is to link. All other pairs are found by
+a prefix filter, which loses none: shingles are put in one order, rare ones first, and a
+pair that is similar enough must share one among the first of each, so early that what
+follows can still add up to the similarity. Comparing means the exact similarity of the
+texts.
 """
 
 from __future__ import annotations
@@ -36,8 +40,8 @@ SIMILARITY = 0.8
 #: A pair at similarity 0.8 shares a band but for a chance of 3 in a million.
 BANDS, ROWS = 42, 6
 COORDINATES = BANDS * ROWS
-#: Texts outside the largest component of a bucket, beyond which the bucket is split.
-SPLIT = 64
+#: Cells that shingles are counted in, to put rare ones first. Any order gives all pairs.
+CELLS = 1 << 20
 
 _DARTS = COORDINATES * np.log(COORDINATES) + 2 * COORDINATES
 _TEXTS_AT_ONCE = 500
@@ -211,48 +215,123 @@ def _verified(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
 def _first_pairs(members: DataFrame) -> DataFrame:
     """Every member of a bucket with the bucket's smallest."""
     hubs = members.groupBy("key").agg(F.min("node").alias("hub"), F.max("node").alias("other"))
-    hubs = hubs.where("hub < other").select("key", "hub")
-    pairs = members.join(hubs, "key").where("node <> hub")
-    return pairs.select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
+    return _with_hubs(members, hubs.where("hub < other").select("key", "hub"))
 
 
-def _mixed(members: DataFrame) -> DataFrame:
-    """``key, node, component, main, minors`` of the buckets with several components.
+def _with_hubs(members: DataFrame, hubs: DataFrame) -> DataFrame:
+    """Every member with the hub of its bucket. Hubs are written first: so the join has a
+    shuffle to itself, and adaptive execution may split a bucket that holds many texts."""
+    pairs = members.join(written(hubs, "hubs"), "key").where("node <> hub")
+    ordered = pairs.select(F.least("hub", "node").alias("a"), F.greatest("hub", "node").alias("b"))
+    return ordered.distinct()
 
-    ``main`` is the largest component, ``minors`` the number of nodes outside it.
-    """
+
+def _mixed(members: DataFrame) -> DataFrame:
+    """The members of buckets with several components."""
     ends = members.groupBy("key").agg(
         F.min("component").alias("low"), F.max("component").alias("high")
     )
-    several = members.join(ends.where("low < high").select("key"), "key", "left_semi")
-    sizes = several.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n"))
-    mains = sizes.groupBy("key").agg(
-        F.max_by("component", F.struct("n", "component")).alias("main"),
-        (F.sum("n") - F.max("n")).alias("minors"),
-    )
-    return several.join(mains, "key")
+    several = written(ends.where("low < high").select("key"), "buckets")
+    return members.join(several, "key", "left_semi")
 
 
-def _across(mixed: DataFrame) -> DataFrame:
-    """Pairs of a bucket in different components, one of them not the main one."""
-    minor = mixed.where("component <> main").select("key", F.col("node").alias("x"), F.col("component").alias("cx"))
-    every = mixed.select("key", F.col("node").alias("y"), F.col("component").alias("cy"), "main")
-    pairs = minor.join(every, "key").where("cx <> cy and (cy = main or x < y)")
-    return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
+# The prefix filter.
 
 
-def _second_pairs(nodes: DataFrame) -> DataFrame:
-    """Pairs across components, from ``node, component, bands``."""
-    members = nodes.select("node", "component", F.explode("bands").alias("key"))
-    mixed = written(_mixed(members), "mixed")
-    small = _across(mixed.where(F.col("minors") <= SPLIT))
-    large = mixed.where(F.col("minors") > SPLIT).select("node", "component", "key")
-    # Similar texts share several bands, so members of large buckets must share a second one.
-    split = large.join(nodes.select("node", F.explode("bands").alias("other")), "node")
-    split = split.where("key <> other").select(
-        "node", "component", F.xxhash64(F.least("key", "other"), F.greatest("key", "other")).alias("key")
+def _cells(hashes: np.ndarray) -> np.ndarray:
+    return (hashes >> np.uint64(20)) % np.uint64(CELLS)
+
+
+def _shingle_counts(texts: DataFrame) -> np.ndarray:
+    """In how many texts the shingles of each cell are; of one size, whatever the texts."""
+
+    def tasks(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingles, counts = Shingles(), np.zeros(CELLS, np.int64)
+        for batch in slices(batches, "text", 1 << 20):
+            sets = [_cells(hashes) for hashes, _ in shingles.of(utf8(batch.column("text")))]
+            counts += np.bincount(np.concatenate(sets).astype(np.int64), minlength=CELLS)
+        cells = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(cells), pa.array(counts[cells])], ["cell", "n"])
+
+    found = texts.select("text").mapInArrow(tasks, "cell long, n long")
+    table = found.groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
+    out = np.zeros(CELLS, np.int64)
+    out[table["cell"].to_numpy()] = table["n"].to_numpy()
+    return out
+
+
+def prefix(
+    hashes: np.ndarray, weights: np.ndarray, counts: np.ndarray, least: float
+) -> tuple[np.ndarray, np.ndarray, int]:
+    """The first shingles of a set in the common order, rarest first, and the weight before.
+
+    Also says how many of them are enough where the other set is at least as heavy. A set
+    that shares less than the needed weight after all of its first shingles is not similar:
+    a pair needs ``least`` of the heavier one's weight in common, and ``2 least / (1 +
+    least)`` of the lighter one's.
+    """
+    order = np.lexsort((hashes, counts[_cells(hashes).astype(np.int64)]))
+    weights = weights[order]
+    before = np.cumsum(weights) - weights
+    rest = weights.sum() - before
+    long, short = (int((rest >= share * rest[0] - 1e-9).sum()) for share in (least, 2 * least / (1 + least)))
+    return hashes[order[:long]], before[:long], short
+
+
+def _prefixes(texts: DataFrame, counts: np.ndarray, least: float) -> DataFrame:
+    """``shingle, node, total, rest, short, own`` of the first shingles of every text.
+
+    ``rest`` is the weight from the shingle on; ``short`` marks the shingles that are looked
+    up from texts at least as heavy. ``own`` is the text's share of shingles found nowhere
+    else, or little, and the same in all rows of a node; its first row has all its weight
+    as ``rest``.
+    """
+    shared = texts.sparkSession.sparkContext.broadcast(counts)
+
+    def tasks(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingles = Shingles()
+        for batch in slices(batches, "text", 1 << 20):
+            nodes = batch.column("node").to_pylist()
+            columns: list[list] = [[] for _ in range(6)]
+            for node, (hashes, weights) in zip(nodes, shingles.of(utf8(batch.column("text")))):
+                if not len(hashes):
+                    continue
+                first, before, short = prefix(hashes, weights, shared.value, least)
+                total, many = int(weights.sum()), len(first)
+                alone = weights[shared.value[_cells(hashes).astype(np.int64)] <= 1].sum() / total
+                parts = [first.view(np.int64), np.full(many, node), np.full(many, total),
+                         total - before, np.arange(many) < short, np.full(many, float(alone))]
+                for column, part in zip(columns, parts):
+                    column.append(part)
+            if columns[0]:
+                arrays = [pa.array(np.concatenate(column)) for column in columns]
+                yield pa.RecordBatch.from_arrays(
+                    arrays, ["shingle", "node", "total", "rest", "short", "own"]
+                )
+
+    kinds = "shingle long, node long, total long, rest long, short boolean, own double"
+    return texts.select("node", "text").mapInArrow(tasks, kinds)
+
+
+def _filtered_pairs(prefixes: DataFrame, parts: DataFrame, least: float) -> DataFrame:
+    """Pairs of different components that may reach the similarity ``least``."""
+    known = prefixes.join(parts, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    known = written(known, "prefixes")
+    heavy, light = (
+        known.select("shingle", *(F.col(c).alias(f"{side}_{c}") for c in ("node", "component", "total", "rest", "short")))
+        for side in ("h", "l")
     )
-    return small.union(_across(_mixed(split.distinct()))).distinct()
+    light = light.where("l_short")
+    # The weight in common that makes two sets similar, less what rounding may lose.
+    needed = least / (1 + least) * (F.col("h_total") + F.col("l_total")) - 1e-6
+    may = (
+        (F.col("h_component") != F.col("l_component"))
+        & (F.col("l_total") <= F.col("h_total"))
+        & (F.least("h_rest", "l_rest") >= needed)
+    )
+    pairs = heavy.join(light, (heavy["shingle"] == light["shingle"]) & may)
+    a, b = F.least("h_node", "l_node").alias("a"), F.greatest("h_node", "l_node").alias("b")
+    return pairs.select(a, b).distinct()
 
 
 # The operator.
@@ -297,8 +376,20 @@ def near_duplicates(
     labelled = nodes.select("node", "bands").join(parts, "node", "left").select(
         "node", "bands", F.coalesce("component", "node").alias("component")
     )
-    more = written(_second_pairs(labelled).join(pairs, ["a", "b"], "left_anti"), "pairs")
-    links = links.union(_verified(more, _texts(rows, nodes, more), least))
+    members = labelled.select("node", "component", F.explode("bands").alias("key"))
+    mixed = written(_mixed(members), "mixed")
+    texts = _texts(rows, nodes, mixed.select(F.col("node").alias("a"), F.col("node").alias("b")))
+    prefixes = written(_prefixes(texts, _shingle_counts(texts), least), "prefixes")
+    own = prefixes.where("rest = total").select("node", "own")
+    ranked = mixed.join(own, "node").groupBy("key").agg(F.min(F.struct("own", "node")).alias("first"))
+    second = _with_hubs(mixed, ranked.select("key", F.col("first.node").alias("hub")))
+    second = written(second.join(pairs, ["a", "b"], "left_anti"), "pairs")
+    links = written(links.union(_verified(second, texts, least)), "links")
+    parts = written(components(links), "components")
+
+    seen = pairs.union(second)
+    third = _filtered_pairs(prefixes, parts, least).join(seen, ["a", "b"], "left_anti")
+    links = links.union(_verified(written(third, "pairs"), texts, least))
     parts = written(components(links), "components")
 
     classed = nodes.select("node", "a", "b", "id").join(parts, "node", "left").select(

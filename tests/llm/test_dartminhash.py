@@ -1,13 +1,16 @@
 from __future__ import annotations
 
+import itertools
 import random
 from collections import Counter
 
 import numpy as np
+from hypothesis import given, settings
+from hypothesis import strategies as st
 
 from ringledger.llm import dartminhash
 from ringledger.llm.components import components
-from ringledger.llm.dartminhash import deduplicated, near_duplicates, signatures, similarity
+from ringledger.llm.dartminhash import deduplicated, near_duplicates, prefix, signatures, similarity
 
 
 def shingles(text):
@@ -91,13 +94,12 @@ def test_classes_by_brute_force(spark):
     assert found == classes_by_brute_force(rows)
 
 
-def test_no_link_is_lost_when_buckets_are_split(spark, monkeypatch):
-    """Texts share a long passage, so buckets hold many classes."""
-    monkeypatch.setattr(dartminhash, "SPLIT", 2)
+def test_no_link_is_lost_where_many_classes_share_a_passage(spark):
+    """Buckets then hold hundreds of classes, most of them not similar enough."""
     rng = random.Random(9)
     passage = [f"p{i}" for i in range(60)]
     rows = []
-    for _ in range(60):
+    for _ in range(500):
         own = [f"o{rng.randrange(10**6)}" for _ in range(25)]
         for _ in range(rng.randrange(1, 4)):
             text = passage + own
@@ -108,6 +110,46 @@ def test_no_link_is_lost_when_buckets_are_split(spark, monkeypatch):
     assert found == classes_by_brute_force(rows)
 
 
+def test_edits_of_one_text_by_brute_force(spark):
+    """From near copies to texts that share half: many pairs lie close to the limit."""
+    rng = random.Random(11)
+    words = [f"w{i}" for i in range(150)]
+    rows = []
+    for i in range(300):
+        text = list(words)
+        for _ in range(rng.randrange(12)):
+            text[rng.randrange(150)] = f"x{rng.randrange(10**6)}"
+        rows.append((i, " ".join(text)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = Counter((r["id"], r["class_id"]) for r in near_duplicates(docs).collect())
+    assert found == classes_by_brute_force(rows)
+
+
+@given(st.integers(0, 10**6), st.sampled_from([0.5, 0.8, 0.95]))
+@settings(max_examples=40, deadline=None)
+def test_the_prefix_filter_loses_no_pair(seed, least):
+    """Of any two similar sets the heavier's first shingles and the lighter's few share one
+    from which on both have the weight needed in common, in whatever order they are put."""
+    rng = np.random.default_rng(seed)
+    base = rng.integers(1, 2**63, 60, dtype=np.uint64)
+    counts = rng.integers(0, 4, dartminhash.CELLS)
+    sets = []
+    for _ in range(12):
+        keep = rng.random(60) < rng.choice([0.8, 0.95, 1.0])
+        hashes = np.unique(np.r_[base[keep], rng.integers(1, 2**63, rng.integers(0, 8), dtype=np.uint64)])
+        sets.append((hashes, rng.integers(1, 4, len(hashes))))
+    for x, y in itertools.combinations(sets, 2):
+        if similarity(x, y) < least:
+            continue
+        heavy, light = (x, y) if x[1].sum() >= y[1].sum() else (y, x)
+        h, before_h, _ = prefix(*heavy, counts, least)
+        li, before_l, short = prefix(*light, counts, least)
+        rest_h = dict(zip(h.tolist(), (heavy[1].sum() - before_h).tolist()))
+        rest_l = dict(zip(li[:short].tolist(), (light[1].sum() - before_l)[:short].tolist()))
+        needed = least / (1 + least) * (x[1].sum() + y[1].sum()) - 1e-6
+        assert any(min(rest_h[c], rest_l[c]) >= needed for c in rest_h.keys() & rest_l.keys())
+
+
 def test_components_of_a_long_path_and_a_star(spark):
     path = [(i, i + 1) for i in range(60)]
     random.Random(1).shuffle(path)
