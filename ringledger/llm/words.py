@@ -10,8 +10,8 @@ import pyarrow.compute as pc
 
 WHITE = b" \t\n\x0b\x0c\r"
 SLICE_BYTES = 4 << 20
-VOCABULARY_WORDS = 1 << 20
-VOCABULARY_BYTES = 32 << 20
+VOCABULARY_WORDS = 1 << 18
+VOCABULARY_BYTES = 8 << 20
 
 
 def slices(
