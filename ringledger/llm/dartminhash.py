@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from ringledger.llm.components import components
 from ringledger.llm.rows import Passed
 from ringledger.llm.storage import written
-from ringledger.llm.words import Vocabulary, mix, slices, utf8
+from ringledger.llm.words import FEW_WORDS, Vocabulary, mix, slices, utf8
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -57,7 +57,7 @@ class Shingles:
         self._clear()
 
     def _clear(self) -> None:
-        self.vocabulary, self.hashes = Vocabulary(), np.zeros(0, np.uint64)
+        self.vocabulary, self.hashes = Vocabulary(FEW_WORDS), np.zeros(0, np.uint64)
 
     def of(self, texts: list[bytes]) -> list[tuple[np.ndarray, np.ndarray]]:
         """A shingle is five words in turn; a shorter text with words is one shingle."""

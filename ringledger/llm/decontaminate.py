@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ringledger.llm.rows import Passed
-from ringledger.llm.words import Vocabulary, mix, slices, utf8
+from ringledger.llm.words import FEW_WORDS, Vocabulary, mix, slices, utf8
 
 #: Edits allowed, as a share of an item's words.
 SHARE = 0.2
@@ -263,10 +263,10 @@ def _matched(rows: DataFrame, block: list[tuple[int | None, str | None]], share:
     shared = rows.sparkSession.sparkContext.broadcast(Index(block, share))
 
     def tasks(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index, vocabulary, hashes = shared.value, Vocabulary(), np.zeros(0, np.uint64)
+        index, vocabulary, hashes = shared.value, Vocabulary(FEW_WORDS), np.zeros(0, np.uint64)
         for batch in slices(batches, "text"):
             if vocabulary.full:
-                vocabulary, hashes = Vocabulary(), np.zeros(0, np.uint64)
+                vocabulary, hashes = Vocabulary(FEW_WORDS), np.zeros(0, np.uint64)
             ids, starts = vocabulary.number([t.lower() for t in utf8(batch.column("text"))])
             hashes = np.r_[hashes, _hashes(vocabulary.words[len(hashes) :])]
             found = index.search_all(hashes[ids], starts)

@@ -26,6 +26,7 @@ from ringledger.llm.rows import Passed
 from ringledger.llm.storage import written
 from ringledger.llm.words import (
     WHITE,
+    FEW_WORDS,
     Vocabulary,
     mix,
     repeated_lines,
@@ -58,7 +59,7 @@ def count_ngrams(docs: DataFrame, text_column: str = "text") -> DataFrame:
     """``gram, count``: each character with up to ORDER - 1 before it in its word."""
 
     def tasks(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary, counts = Vocabulary(), np.zeros(0, np.int64)
+        vocabulary, counts = Vocabulary(2 * FEW_WORDS), np.zeros(0, np.int64)
         for batch in slices(batches, "text"):
             ids, _ = vocabulary.number(utf8(batch.column("text")))
             more = np.bincount(ids, minlength=len(vocabulary.words))
@@ -66,7 +67,7 @@ def count_ngrams(docs: DataFrame, text_column: str = "text") -> DataFrame:
             counts = more
             if vocabulary.full:
                 yield _grams(vocabulary.words, counts)
-                vocabulary, counts = Vocabulary(), np.zeros(0, np.int64)
+                vocabulary, counts = Vocabulary(2 * FEW_WORDS), np.zeros(0, np.int64)
         if len(counts):
             yield _grams(vocabulary.words, counts)
 
@@ -286,7 +287,7 @@ class _Scorer:
         self._clear()
 
     def _clear(self) -> None:
-        self.vocabulary, self.logs = Vocabulary(), np.zeros(0)
+        self.vocabulary, self.logs = Vocabulary(2 * FEW_WORDS), np.zeros(0)
 
     def statistics(self, texts: list[bytes]) -> dict[str, pa.Array]:
         if self.vocabulary.full:

@@ -7,7 +7,7 @@ from itertools import chain
 
 import numpy as np
 
-from ringledger.llm.words import Vocabulary
+from ringledger.llm.words import FEW_WORDS, Vocabulary
 
 #: What the file's pre-tokenizer splits off after a letter or digit, in ASCII.
 _TAIL = b",.;:!?"
@@ -37,13 +37,13 @@ class WordTokenizer:
         self.clear()
 
     def clear(self) -> None:
-        self.vocabulary = Vocabulary()
+        self.vocabulary = Vocabulary(FEW_WORDS)
         self.lengths = np.zeros(0, np.int64)
         self.offsets = np.zeros(0, np.int64)
         self.flat = np.zeros(0, np.uint32)
         self.ends = np.zeros(0, bool)
         # Words fall into two pieces each, of which there are far fewer.
-        self.pieces = Vocabulary()
+        self.pieces = Vocabulary(FEW_WORDS)
         self.piece_lengths = np.zeros(0, np.int64)
         self.piece_offsets = np.zeros(0, np.int64)
         self.piece_flat = np.zeros(0, np.uint32)

@@ -10,8 +10,10 @@ import pyarrow.compute as pc
 
 WHITE = b" \t\n\x0b\x0c\r"
 SLICE_BYTES = 4 << 20
-VOCABULARY_WORDS = 1 << 18
-VOCABULARY_BYTES = 8 << 20
+VOCABULARY_WORDS = 1 << 20
+VOCABULARY_BYTES = 32 << 20
+#: For tasks that keep much else, or whose work on a new word is slight.
+FEW_WORDS = 1 << 18
 
 
 def slices(
@@ -38,12 +40,13 @@ def utf8(column: pa.Array) -> list[bytes]:
 class Vocabulary(dict):
     """Numbers words in the order they come; ``full`` says when to start a new one.
 
-    Words are what stands between ASCII white space, as bytes.split() has it.
+    Words are what stands between ASCII white space, as bytes.split() has it. Smaller ones
+    take less memory, and are started anew more often.
     """
 
-    def __init__(self) -> None:
+    def __init__(self, most: int = VOCABULARY_WORDS) -> None:
         self.words: list[bytes] = []
-        self.size = 0
+        self.most, self.size = most, 0
 
     def __missing__(self, word: bytes) -> int:
         self[word] = number = len(self.words)
@@ -53,7 +56,7 @@ class Vocabulary(dict):
 
     @property
     def full(self) -> bool:
-        return len(self.words) > VOCABULARY_WORDS or self.size > VOCABULARY_BYTES
+        return len(self.words) > self.most or self.size > VOCABULARY_BYTES
 
     def number(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """The words of all texts as numbers, and where each text starts (and the end)."""
