@@ -274,6 +274,9 @@ def test_the_slice_reaches_the_scan(spark, table, tmp_path, days):
     data = sources(table, reports, [], links)
     data = ProblemSources(data.reports, data.categories, spark.read.parquet(path), data.xref,
                           data.intervals)
-    (pushed,) = pushed_filters(candidate_calls(data, days, "A"))
-    assert "GreaterThanOrEqual(Handoff_Time,2024-01-05" in pushed
-    assert "LessThanOrEqual(Handoff_Time,2024-01-07" in pushed
+    # The size of these locations is unknown, so the calls are also counted by location.
+    scans = pushed_filters(candidate_calls(data, days, "A"))
+    assert scans
+    for pushed in scans:
+        assert "GreaterThanOrEqual(Handoff_Time,2024-01-05" in pushed
+        assert "LessThanOrEqual(Handoff_Time,2024-01-07" in pushed
