@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ringledger.llm import dartminhash, decontaminate, line_dedup, packing, perplexity
 from ringledger.llm.storage import written
@@ -17,14 +18,28 @@ from ringledger.llm.tokens import tokenizer_file
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def _plain(docs: DataFrame, operator: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """The columns of ``docs`` after ``operator``, also those named like one that it adds."""
+    names = {c: f"_{i}" for i, c in enumerate(docs.columns) if c not in ("doc_id", "text", "lang")}
+    rows = operator(docs.withColumnsRenamed(names))
+    return rows.select(*(F.col(names.get(c, c)).alias(c) for c in docs.columns))
+
+
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that pass the base rules and lie in the perplexity band of their language."""
-    return perplexity.quality_rules(docs).where("kept").select(*docs.columns)
+    """Documents that pass the base rules and lie in the perplexity band of their language.
+
+    Null and empty texts fail the base rules. Equal texts get the same verdict, and a null
+    language is one of its own. Each row is judged by itself, also if rows repeat.
+    """
+    return _plain(docs, lambda rows: perplexity.quality_rules(rows).where("kept"))
 
 
 def shared_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without the lines that ten or more of them share."""
-    return line_dedup.drop_shared_lines(docs).select(*docs.columns)
+    """All documents, without the lines that ten or more of them share.
+
+    Every row is a document, also if rows repeat; a null or empty text comes back empty.
+    """
+    return _plain(docs, line_dedup.drop_shared_lines)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
