@@ -2,8 +2,9 @@
 
 Lines are exploded as hashes of their normalised text, each hash is counted once per
 document, and documents are put together again from the positions that stay. All of it
-is DataFrame functions. Only hashes and positions are exploded and shuffled; a text moves
-once, to meet its own list of positions.
+is DataFrame functions. Lines are hashed once, into a small table. Only hashes and positions
+are exploded and shuffled; a text moves once, to meet its own list of positions. The
+occurrences of a line that very many documents share are dealt to several tasks.
 """
 
 from __future__ import annotations
@@ -11,7 +12,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ringledger.functions.skew import spread_join
 from ringledger.llm.rows import Passed
+from ringledger.llm.storage import written
 
 MIN_DOCUMENTS = 10
 MIN_CODE_POINTS = 1
@@ -60,9 +63,9 @@ def drop_shared_lines(
         return F.when(F.char_length(key) >= min_code_points, _fingerprint(key))
 
     hashed = docs.select(same.alias("same"), F.transform(lines, fingerprint_or_null).alias("keys"))
+    hashed = written(hashed, "lines")
     shared = (
-        # explode() would have Spark test each array for emptiness first, hashing all twice.
-        hashed.select(F.explode_outer(F.array_distinct("keys")).alias("key"))
+        hashed.select(F.explode(F.array_distinct("keys")).alias("key"))
         .where("key is not null")
         .groupBy("key.a", "key.b")
         .agg(F.count(F.lit(1)).alias("documents"))
@@ -70,11 +73,13 @@ def drop_shared_lines(
         .select("a", "b")
     )
     # Repeated rows would list their positions once each, so the lists are sets.
-    dropped = (
-        hashed.select("same", F.posexplode_outer("keys").alias("position", "key"))
+    places = (
+        hashed.select("same", F.posexplode("keys").alias("position", "key"))
         .where("key is not null")
         .select("same", "position", "key.a", "key.b")
-        .join(shared, ["a", "b"], "left_semi")
+    )
+    dropped = (
+        spread_join(places, written(shared, "shared"), ["a", "b"], "left_semi")
         .groupBy("same")
         .agg(F.collect_set("position").alias("dropped"))
     )

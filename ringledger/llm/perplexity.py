@@ -22,9 +22,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ringledger.functions.skew import spread_join
 from ringledger.llm.rows import Passed
 from ringledger.llm.storage import written
 from ringledger.llm.words import (
+    FEW_WORDS,
     WHITE,
     Vocabulary,
     mix,
@@ -58,15 +60,15 @@ def count_ngrams(docs: DataFrame, text_column: str = "text") -> DataFrame:
     """``gram, count``: each character with up to ORDER - 1 before it in its word."""
 
     def tasks(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary, counts = Vocabulary(), np.zeros(0, np.int64)
+        vocabulary, counts = Vocabulary(FEW_WORDS), np.zeros(0, np.int64)
         for batch in slices(batches, "text"):
             ids, _ = vocabulary.number(utf8(batch.column("text")))
-            more = np.bincount(ids, minlength=len(vocabulary.words))
-            more[: len(counts)] += counts
-            counts = more
+            counts = _added(counts, ids, len(vocabulary.words))
             if vocabulary.full:
-                yield _grams(vocabulary.words, counts)
-                vocabulary, counts = Vocabulary(), np.zeros(0, np.int64)
+                often = vocabulary.frequent(counts)
+                rare = vocabulary.only(~often).words
+                yield _grams(rare, counts[~often])
+                vocabulary, counts = vocabulary.only(often), counts[often]
         if len(counts):
             yield _grams(vocabulary.words, counts)
 
@@ -74,6 +76,13 @@ def count_ngrams(docs: DataFrame, text_column: str = "text") -> DataFrame:
     return counts.groupBy("gram").agg(F.sum("n").alias("count"))
 
 
+def _added(counts: np.ndarray, ids: np.ndarray, size: int) -> np.ndarray:
+    """``counts`` and how often each id occurs, for ``size`` ids."""
+    more = np.bincount(ids, minlength=size)
+    more[: len(counts)] += counts
+    return more
+
+
 def _spelled(words: list[bytes]) -> tuple[str, np.ndarray, np.ndarray]:
     """All words with their marks in one string, its code points, and where each starts."""
     parts = [_START + word.decode("utf-8", "replace") + _END for word in words]
@@ -263,9 +272,9 @@ _STATS = {
 
 
 def score(rows: DataFrame, model: Model, keep_text: bool = True) -> DataFrame:
-    """``row, lang, text`` with the statistics; log_perplexity is null without words."""
+    """``row, lang, same, text`` with the statistics; log_perplexity is null without words."""
     shared = rows.sparkSession.sparkContext.broadcast(model)
-    kept = ["row", "lang", "text"] if keep_text else ["row", "lang"]
+    kept = ["row", "lang", "same", "text"] if keep_text else ["row", "lang", "same"]
 
     def tasks(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = _Scorer(shared.value)
@@ -283,15 +292,19 @@ def score(rows: DataFrame, model: Model, keep_text: bool = True) -> DataFrame:
 class _Scorer:
     def __init__(self, model: Model) -> None:
         self.model = model
-        self._clear()
+        self.vocabulary, self.logs = Vocabulary(FEW_WORDS), np.zeros(0)
+        self.counts = np.zeros(0, np.int64)
 
-    def _clear(self) -> None:
-        self.vocabulary, self.logs = Vocabulary(), np.zeros(0)
+    def _make_room(self) -> None:
+        often = self.vocabulary.frequent(self.counts)
+        self.vocabulary = self.vocabulary.only(often)
+        self.logs, self.counts = self.logs[often], self.counts[often]
 
     def statistics(self, texts: list[bytes]) -> dict[str, pa.Array]:
         if self.vocabulary.full:
-            self._clear()
+            self._make_room()
         ids, starts = self.vocabulary.number(texts)
+        self.counts = _added(self.counts, ids, len(self.vocabulary.words))
         while new := self.vocabulary.words[len(self.logs) :][:_BLOCK_WORDS]:
             self.logs = np.concatenate([self.logs, self.model.log_probabilities(new)])
         n = np.diff(starts)
@@ -318,6 +331,27 @@ def _word_chars(text: bytes) -> int:
 # The rules.
 
 
+def bands(scored: DataFrame, fence: float) -> DataFrame:
+    """``lang, lower, upper`` for each language, null where no text passes the base rules."""
+    texts = scored.groupBy("lang", "same").agg(
+        F.min(F.when(~F.col("base_failed"), F.col("log_perplexity"))).alias("log_perplexity")
+    )
+    percents = [i / 100 for i in range(101)]
+    quantiles = F.percentile_approx("log_perplexity", percents, 10000)
+    halves = F.transform(
+        F.sequence(F.lit(0), F.lit(50)),
+        lambda i: F.struct(
+            (F.get("q", i + 50) - F.get("q", i)).alias("width"), F.get("q", i).alias("low")
+        ),
+    )
+    half = texts.groupBy("lang").agg(quantiles.alias("q")).select(
+        "lang", F.when(F.col("q").isNotNull(), F.array_min(halves)).alias("half")
+    )
+    middle = F.col("half.low") + F.col("half.width") / 2
+    spread = fence * F.greatest(F.lit(LEAST_SPREAD), F.col("half.width") / 2)
+    return half.select("lang", (middle - spread).alias("lower"), (middle + spread).alias("upper"))
+
+
 def quality_rules(
     docs: DataFrame,
     fence: float = FENCE,
@@ -330,11 +364,12 @@ def quality_rules(
     A row fails the base rules with fewer than 50 words (so also if its text is null or
     empty), or if more than half of its words stand in repeated windows of three. Of the
     others, those are rejected whose perplexity lies outside the band of their language:
-    ``fence`` times around the shortest range that holds half of the texts of the language
-    that pass the base rules. Junk apart from the others, as long as it is less than half of
-    a language, is not in that range: if it is a third, the range spans three quarters of
-    the others instead of half of them. A null language is a language of its own. Every row
-    counts by itself, also if ids or rows repeat. An empty table gives an empty table.
+    ``fence`` times around the shortest range that holds half of the distinct texts of the
+    language that pass the base rules. Junk apart from the others, as long as it is less than
+    half of a language, is not in that range: if it is a third, the range spans three quarters
+    of the others instead of half of them. Equal texts count once there, so that many copies
+    of one text don't move the band; they get the same verdict. A null language is a language
+    of its own. Every row is judged by itself, also if ids or rows repeat. An empty table gives an empty table.
     Columns of ``docs`` with the names of new ones are replaced. The text is left out
     with ``keep_text=False``.
     """
@@ -342,26 +377,16 @@ def quality_rules(
     model = Model.fit(docs, text_column)
     passed = Passed(docs, [c for c in docs.columns if c not in (text_column, *new)])
     lang = F.coalesce(docs[lang_column].cast("string"), F.lit(_NO_LANGUAGE)).alias("lang")
-    rows = docs.select(passed.struct, lang, docs[text_column].alias("text"))
+    text = docs[text_column]
+    same = F.struct(F.xxhash64(text).alias("a"), F.xxhash64(F.lit(1), text).alias("b"))
+    rows = docs.select(passed.struct, lang, same.alias("same"), text.alias("text"))
     scored = written(score(rows, model, keep_text), "quality")
     short = F.col("n_words") < MIN_WORDS
     repeats = 100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words")
     scored = scored.withColumn("base_failed", short | repeats)
-    percents = [i / 100 for i in range(101)]
-    quantiles = F.percentile_approx("log_perplexity", percents, 10000)
-    bands = scored.where("not base_failed").groupBy("lang").agg(quantiles.alias("q"))
-    halves = F.transform(
-        F.sequence(F.lit(0), F.lit(50)),
-        lambda i: F.struct(
-            (F.get("q", i + 50) - F.get("q", i)).alias("width"), F.get("q", i).alias("low")
-        ),
-    )
-    bands = bands.select("lang", F.array_min(halves).alias("half"))
-    middle = F.col("half.low") + F.col("half.width") / 2
-    spread = fence * F.greatest(F.lit(LEAST_SPREAD), F.col("half.width") / 2)
-    bands = bands.select("lang", (middle - spread).alias("lower"), (middle + spread).alias("upper"))
+    found = bands(scored, fence)
     inside = F.col("log_perplexity").between(F.col("lower"), F.col("upper"))
-    result = scored.join(bands, "lang", "left")
+    result = spread_join(scored, written(found, "bands"), ["lang"])
     result = result.withColumn("kept", ~F.col("base_failed") & F.coalesce(inside, F.lit(True)))
     columns = {c: passed.get(c) for c in passed.columns}
     if keep_text:

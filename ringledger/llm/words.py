@@ -58,6 +58,26 @@ class Vocabulary(dict):
     def full(self) -> bool:
         return len(self.words) > self.most or self.size > VOCABULARY_BYTES
 
+    def frequent(self, counts: np.ndarray) -> np.ndarray:
+        """Whether a word is among the quarter that ``counts`` has most of, more than once.
+
+        Kept on when the others go, these save most of the work that a new start repeats.
+        None is, if they alone would fill the vocabulary.
+        """
+        quarter = len(counts) // 4
+        if not quarter:
+            return np.zeros(len(counts), bool)
+        often = counts > max(1, np.partition(counts, -quarter)[-quarter])
+        size = sum(len(self.words[i]) for i in np.flatnonzero(often).tolist())
+        return often if 2 * size <= VOCABULARY_BYTES else np.zeros(len(counts), bool)
+
+    def only(self, chosen: np.ndarray) -> Vocabulary:
+        """A new vocabulary of the chosen words, numbered in the same order."""
+        new = Vocabulary(self.most)
+        for i in np.flatnonzero(chosen).tolist():
+            new[self.words[i]]
+        return new
+
     def number(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """The words of all texts as numbers, and where each text starts (and the end)."""
         parts, starts = [], np.zeros(len(texts) + 1, np.int64)

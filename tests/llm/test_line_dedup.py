@@ -56,3 +56,14 @@ def test_odd_rows_and_names(odd_docs, no_docs):
 def test_no_python(odd_docs):
     plan = physical_plan(drop_shared_lines(odd_docs))
     assert "Python" not in plan and "Arrow" not in plan and "Cartesian" not in plan
+
+
+def test_a_hot_line_without_broadcast(spark):
+    """A line that every document has, with the join's keys too large to be broadcast."""
+    texts = [f"every\nown {i}\n\nevery \nsome {i % 50}" for i in range(400)]
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert run(spark, texts, 8) == brute_force(texts, 8)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)

@@ -5,6 +5,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from ringledger.llm import perplexity
 from ringledger.llm.perplexity import ORDER, Model, count_ngrams, quality_rules
@@ -170,3 +171,53 @@ def test_odd_rows_and_names(odd_docs, no_docs):
     assert len(rows) == odd_docs.count()
     assert all(not r["kept"] and r["log_perplexity"] is None for r in rows if not r["n_words"])
     assert quality_rules(no_docs).collect() == []
+
+
+@pytest.mark.parametrize("share", [0.33, 0.45, 0.56])
+def test_copies_of_one_text_do_not_move_the_band(spark, share):
+    """Up to most of a language may be copies of one good text."""
+    docs = spark.read.parquet(f"{DATA}/sf0.01/documents.parquet").where("lang = 'en'")
+    docs = docs.select("doc_id", "lang", "text")
+    labels = spark.read.parquet(f"{DATA}/sf0.01/labels.parquet")
+    n = docs.count()
+    text = docs.join(labels.where("quality = 1"), "doc_id").where("length(text) > 600")
+    text = text.orderBy("doc_id").first()["text"]
+    copies = spark.range(int(n * share / (1 - share))).select(
+        (-1 - F.col("id")).alias("doc_id"), F.lit("en").alias("lang"), F.lit(text).alias("text")
+    )
+
+    def kept(rows, quality):
+        rows = quality_rules(rows).where("not base_failed").join(labels, "doc_id")
+        found = [r["kept"] for r in rows.where(f"quality = {quality}").collect()]
+        return sum(found), len(found)
+
+    with_copies = docs.unionByName(copies)
+    good, of = kept(with_copies, 1)
+    assert good >= 0.98 * of
+    # The counts cover all copies, so the model is worse for the others; the band is not.
+    junk, of = kept(with_copies, 0)
+    assert junk <= 0.5 * of
+
+
+def test_few_words_at_once(spark, monkeypatch):
+    """A vocabulary that fills up changes neither counts nor scores."""
+    docs = spark.read.parquet(f"{DATA}/sf0.001/documents.parquet").select("text")
+    texts = [(r["text"] or "").encode() for r in docs.collect()]
+    model = Model.fit(docs)
+
+    def run():
+        grams = {r["gram"]: r["count"] for r in count_ngrams(docs).collect()}
+        scorer = perplexity._Scorer(model)
+        parts = [scorer.statistics(texts[i : i + 10]) for i in range(0, len(texts), 10)]
+        columns = {c: sum((p[c].to_pylist() for p in parts), []) for c in parts[0]}
+        return grams, columns, len(scorer.vocabulary)
+
+    grams, columns, every = run()
+    monkeypatch.setattr(perplexity, "FEW_WORDS", 300)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "10")
+    again, others, few = run()
+    spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert again == grams and few < every
+    logs, other = columns.pop("log_perplexity"), others.pop("log_perplexity")
+    assert others == columns
+    assert np.allclose([x or 0 for x in other], [x or 0 for x in logs])

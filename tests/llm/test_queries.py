@@ -66,6 +66,21 @@ def test_each_stage_by_brute_force(spark, tmp_path):
         given = kept
 
 
+@pytest.mark.parametrize("number", range(5))
+def test_stages_on_odd_rows(spark, odd_docs, no_docs, number):
+    """Nulls, repeated rows, names that clash with those an operator adds, and no rows."""
+    stage = corpus_pipeline.STAGES[number][1]
+    found = stage(spark, odd_docs, FOLDER)
+    rows = found.collect()
+    if number < 4:
+        assert found.columns == odd_docs.columns
+        clashing = [c for c in odd_docs.columns[5:]]
+        assert all(r[c] == "x" for r in rows for c in clashing)
+    if number == 1:
+        assert len(rows) == odd_docs.count()
+    assert stage(spark, no_docs, FOLDER).collect() == []
+
+
 def test_the_rest_works_without_this_subpackage(tmp_path):
     """In a copy of the repository without the two folders and the pipeline."""
     import shutil
