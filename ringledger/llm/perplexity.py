@@ -47,6 +47,8 @@ LEAST_SPREAD = 0.125
 
 _START, _END = "\x02", "\x03"
 _SYMBOLS = b"#*$%&|<>"
+#: A text that more than one in so many rows hold counts once in the model.
+COPIED = 1000
 #: Words spelled at once, which bounds a task's arrays.
 _BLOCK_WORDS = 1 << 16
 #: Where a language is null it counts as this one.
@@ -331,6 +333,19 @@ def _word_chars(text: bytes) -> int:
 # The rules.
 
 
+def _copied_once(rows: DataFrame) -> DataFrame:
+    """``same, text`` of all rows, but once for a text that a large share of them holds."""
+    counts = rows.groupBy("same").agg(F.count(F.lit(1)).alias("n"))
+    counts = written(counts.where("n > 1"), "copies")
+    copied = counts.where(F.col("n") * COPIED > rows.count()).select("same")
+    if copied.isEmpty():
+        return rows
+    copied = F.broadcast(copied)  # fewer than COPIED rows, as shares add up to 1
+    others = rows.join(copied, "same", "left_anti")
+    once = rows.join(copied, "same", "left_semi").groupBy("same").agg(F.first("text").alias("text"))
+    return others.unionByName(once)
+
+
 def bands(scored: DataFrame, fence: float) -> DataFrame:
     """``lang, lower, upper`` for each language, null where no text passes the base rules."""
     texts = scored.groupBy("lang", "same").agg(
@@ -368,18 +383,20 @@ def quality_rules(
     language that pass the base rules. Junk apart from the others, as long as it is less than
     half of a language, is not in that range: if it is a third, the range spans three quarters
     of the others instead of half of them. Equal texts count once there, so that many copies
-    of one text don't move the band; they get the same verdict. A null language is a language
+    of one text don't move the band; they get the same verdict. For the same reason a text
+    that more than one in ``COPIED`` rows hold counts once in the model, or it would have
+    learned that text by heart. A null language is a language
     of its own. Every row is judged by itself, also if ids or rows repeat. An empty table gives an empty table.
     Columns of ``docs`` with the names of new ones are replaced. The text is left out
     with ``keep_text=False``.
     """
     new = [*_STATS, "lower", "upper", "base_failed", "kept"]
-    model = Model.fit(docs, text_column)
     passed = Passed(docs, [c for c in docs.columns if c not in (text_column, *new)])
     lang = F.coalesce(docs[lang_column].cast("string"), F.lit(_NO_LANGUAGE)).alias("lang")
     text = docs[text_column]
     same = F.struct(F.xxhash64(text).alias("a"), F.xxhash64(F.lit(1), text).alias("b"))
     rows = docs.select(passed.struct, lang, same.alias("same"), text.alias("text"))
+    model = Model.fit(_copied_once(rows.select("same", "text")))
     scored = written(score(rows, model, keep_text), "quality")
     short = F.col("n_words") < MIN_WORDS
     repeats = 100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words")
