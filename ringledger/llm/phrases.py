@@ -9,11 +9,16 @@ frequent in the corpus (words at first, then pairs, then triples: the recursion)
 words that may follow them; a phrase of the next length is a pair of ranks. The plane of
 pairs is cut into square tiles. Tiles with many entries are counted in place, one dense
 ``bincount`` each; the entries of all others are sorted together and counted as
-coordinates. Spark adds up the counts of all chunks and keeps what reaches the least count.
+coordinates.
 
-Which phrases are frequent reaches the tasks as a bit field of fixed size. It lets some rare
-phrases pass, which costs rows and changes no result: the sums decide. A phrase is known by
-the 64-bit hashes of its words.
+Nearly all phrases of a chunk are rare in the corpus. So the counts are first added up by
+cell, a part of the phrase's hash: chunks give them in order and packed, a few bytes for each
+phrase. Only phrases whose cell reaches the least count are then spelled out, and Spark adds
+up their counts and keeps what reaches it.
+
+Which words and cells are frequent reaches the tasks as a bit field of fixed size. Neither
+loses a frequent phrase. Both let some rare ones pass, which costs rows and changes no result:
+the sums decide. A phrase is known by the 64-bit hashes of its words.
 """
 
 from __future__ import annotations
@@ -43,6 +48,10 @@ TILE_BITS = 8
 DENSE = 1 << (2 * TILE_BITS - 4)
 #: The bit field: its size, and bits set for a phrase.
 FIELD_BITS, FIELD_HASHES = 26, 3
+#: Leading bits of a phrase's key that say its cell.
+CELL_BITS = 40
+#: Places of the corpus for each group of cells, which bounds what a group's task holds.
+GROUP_PLACES = 2 << 20
 #: Groups that a language's candidates are dealt to before the last ranking.
 SALTS = 32
 
@@ -137,10 +146,14 @@ def _longer(keys: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     return mix(keys ^ hashes)
 
 
+def _cells(keys: np.ndarray) -> np.ndarray:
+    return keys >> np.uint64(64 - CELL_BITS)
+
+
 def _places(keys: np.ndarray) -> np.ndarray:
-    """Bits of each key in the field, a row for each."""
+    """Bits of each key in the field, a row for each; keys of a cell have the same."""
     turns = np.arange(1, FIELD_HASHES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-    return mix(keys[:, None] + turns) >> np.uint64(64 - FIELD_BITS)
+    return mix(_cells(keys)[:, None] + turns) >> np.uint64(64 - FIELD_BITS)
 
 
 def _bits(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -169,11 +182,19 @@ def _field(frequent: DataFrame) -> np.ndarray:
             keys = np.array([starts[x] for x in batch.column("lang").to_pylist()], np.uint64)
             for column in words.T:
                 keys = _longer(keys, column)
-            places, ones = _bits(keys)
-            arrays = [pa.array(places.view(np.int64)), pa.array(ones.view(np.int64))]
-            yield pa.RecordBatch.from_arrays(arrays, ["place", "bits"])
+            yield _bit_rows(keys)
+
+    return _gathered(frequent.select("lang", "phrase").mapInArrow(tasks, "place long, bits long"))
+
 
-    found = frequent.select("lang", "phrase").mapInArrow(tasks, "place long, bits long")
+def _bit_rows(keys: np.ndarray) -> pa.RecordBatch:
+    places, ones = _bits(keys)
+    arrays = [pa.array(places.view(np.int64)), pa.array(ones.view(np.int64))]
+    return pa.RecordBatch.from_arrays(arrays, ["place", "bits"])
+
+
+def _gathered(found: DataFrame) -> np.ndarray:
+    """The bit field of a table ``place, bits``, which has no more rows than the field words."""
     table = found.groupBy("place").agg(F.bit_or("bits").alias("bits")).toArrow()
     field = np.zeros(1 << (FIELD_BITS - 6), np.uint64)
     field[table["place"].to_numpy()] = table["bits"].to_numpy().view(np.uint64)
@@ -225,12 +246,39 @@ def count_pairs(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray, n
 
 
 def count_phrases(
-    lang: str, hashes: np.ndarray, ids: np.ndarray, fields: list[np.ndarray]
+    lang: str, hashes: np.ndarray, ids: np.ndarray, fields: list[np.ndarray], last: np.ndarray | None = None
 ) -> tuple[np.ndarray, np.ndarray]:
     """Phrases of a chunk one word longer than there are fields: rows of hashes, and counts.
 
-    Only phrases are counted whose shorter parts are all in their field.
+    Only phrases are counted whose shorter parts are all in their field, and which are
+    in ``last`` themselves.
     """
+    phrases, hashes, keys, a, b, counts = _grown(lang, hashes, ids, fields)
+    if last is not None:
+        chosen = _inside(last, keys)
+        a, b, counts = a[chosen], b[chosen], counts[chosen]
+    # In order of their beginnings, which then repeat and compress well.
+    order = np.argsort(a * len(hashes) + b)
+    return np.c_[phrases[a[order]], hashes[b[order]]], counts[order]
+
+
+def count_cells(
+    lang: str, hashes: np.ndarray, ids: np.ndarray, fields: list[np.ndarray]
+) -> tuple[np.ndarray, np.ndarray]:
+    """Cells of the phrases that ``count_phrases`` counts, in order, and counts."""
+    _, _, keys, _, _, counts = _grown(lang, hashes, ids, fields)
+    return _summed(_cells(keys), counts)
+
+
+def _summed(cells: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    order = np.argsort(cells, kind="stable")
+    cells, counts = cells[order], counts[order].astype(np.uint64)
+    first = np.flatnonzero(np.r_[True, cells[1:] != cells[:-1]]) if len(cells) else np.zeros(0, np.int64)
+    return cells[first], np.add.reduceat(counts, first) if len(first) else counts
+
+
+def _grown(lang: str, hashes: np.ndarray, ids: np.ndarray, fields: list[np.ndarray]):
+    """Hashes of beginnings and of last words, and of each phrase its key, both parts and count."""
     hashes = hashes.view(np.uint64)
     keys = _longer(np.full(len(hashes), _start(lang)), hashes)
     word, order = by_rank(ids, _inside(fields[0], keys))
@@ -244,9 +292,7 @@ def count_phrases(
         at = np.flatnonzero((begin >= 0) & (last >= 0) & (after >= 0))
         a, b, counts = count_pairs(begin[at], last[at])
         if length == len(fields) + 1:
-            # In order of their beginnings, which then repeat and compress well.
-            order = np.argsort(a * len(hashes) + b)
-            return np.c_[phrases[a[order]], hashes[b[order]]], counts[order]
+            return phrases, hashes, _longer(keys[a], hashes[b]), a, b, counts
         longer = np.c_[phrases[a], hashes[b]]
         keys = _longer(keys[a], hashes[b])
         # Number the phrases at their places, and rank what may be frequent again.
@@ -259,18 +305,71 @@ def count_phrases(
     raise ValueError("a field is needed")
 
 
+def _packed(values: np.ndarray, counts: np.ndarray) -> bytes:
+    """Rising values and their counts, byte by byte in planes, most of which are alike."""
+    both = np.concatenate([np.diff(values, prepend=np.uint64(0)), counts]).astype("<u8")
+    return pa.compress(both.view(np.uint8).reshape(-1, 8).T.tobytes(), "zstd", asbytes=True)
+
+
+def _unpacked(size: int, packed: bytes) -> tuple[np.ndarray, np.ndarray]:
+    planes = np.frombuffer(pa.decompress(packed, 16 * size, "zstd"), np.uint8).reshape(8, -1)
+    both = np.ascontiguousarray(planes.T).view("<u8").ravel()
+    return np.cumsum(both[:size], dtype=np.uint64), both[size:]
+
+
+def _frequent_cells(table: DataFrame, fields: list[np.ndarray], least: int, group_bits: int) -> np.ndarray:
+    """The bit field of the cells that phrases one word longer than there are fields fill.
+
+    Cells are summed in groups by their leading ``group_bits``.
+    """
+    shared = table.sparkSession.sparkContext.broadcast(fields)
+    below = np.uint64(CELL_BITS - group_bits)
+
+    def tasks(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lang, hashes, ids in _of_chunks(batch):
+                cells, counts = count_cells(lang, hashes, ids, shared.value)
+                groups, first = np.unique(cells >> below, return_index=True)
+                bounds = [*first.tolist(), len(cells)]
+                packed = [
+                    _packed(cells[i:j] - (group << below), counts[i:j])
+                    for group, i, j in zip(groups, bounds, bounds[1:])
+                ]
+                arrays = [groups.astype(np.int64), np.diff(bounds), pa.array(packed, pa.binary())]
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in arrays], ["part", "size", "packed"])
+
+    def merged(key: tuple, rows: pa.Table) -> pa.Table:
+        parts = zip(rows["size"].to_pylist(), rows["packed"].to_pylist())
+        cells, counts = (np.concatenate(x) for x in zip(*(_unpacked(*part) for part in parts)))
+        cells, counts = _summed(cells, counts)
+        full = cells[counts >= least] + (np.uint64(key[0].as_py()) << below)
+        return pa.Table.from_batches([_bit_rows(full << np.uint64(64 - CELL_BITS))])
+
+    parts = _chunk_ids(table).mapInArrow(tasks, "part long, size long, packed binary")
+    return _gathered(parts.groupBy("part").applyInArrow(merged, "place long, bits long"))
+
+
+def _chunk_ids(table: DataFrame) -> DataFrame:
+    return table.select("lang", "hashes", "size", "ids")
+
+
+def _of_chunks(batch: pa.RecordBatch) -> Iterator[tuple[str, np.ndarray, np.ndarray]]:
+    """``lang``, ``hashes`` and unpacked ``ids`` of each chunk."""
+    for i in range(batch.num_rows):
+        hashes = batch.column("hashes")[i].values.to_numpy()
+        ids = unpacked(*(batch.column(c)[i].as_py() for c in ("size", "ids")))
+        yield batch.column("lang")[i].as_py(), hashes, ids
+
+
 def _counted(table: DataFrame, fields: list[np.ndarray], least: int) -> DataFrame:
-    """``lang, phrase, f`` of the frequent phrases one word longer than there are fields."""
+    """``lang, phrase, f`` of the frequent phrases of as many words as there are fields."""
     shared = table.sparkSession.sparkContext.broadcast(fields)
-    names = [f"h{i}" for i in range(len(fields) + 1)]
+    names = [f"h{i}" for i in range(len(fields))]
 
     def tasks(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i in range(batch.num_rows):
-                lang = batch.column("lang")[i].as_py()
-                hashes = batch.column("hashes")[i].values.to_numpy()
-                ids = unpacked(*(batch.column(c)[i].as_py() for c in ("size", "ids")))
-                rows, counts = count_phrases(lang, hashes, ids, shared.value)
+            for lang, hashes, ids in _of_chunks(batch):
+                rows, counts = count_phrases(lang, hashes, ids, shared.value[:-1], shared.value[-1])
                 for start in range(0, len(rows), 1 << 17):
                     part = rows[start : start + (1 << 17)].view(np.int64)
                     arrays = [pa.array(np.ascontiguousarray(c)) for c in part.T]
@@ -280,7 +379,7 @@ def _counted(table: DataFrame, fields: list[np.ndarray], least: int) -> DataFram
                     )
 
     kinds = f"lang string, {', '.join(f'{n} long' for n in names)}, n long"
-    parts = table.select("lang", "hashes", "size", "ids").mapInArrow(tasks, kinds)
+    parts = _chunk_ids(table).mapInArrow(tasks, kinds)
     # A chunk has each phrase once, so a second sum before the shuffle would find nothing.
     dealt = parts.repartition("lang", *names)
     sums = dealt.groupBy("lang", *names).agg(F.sum("n").alias("f")).where(F.col("f") >= least)
@@ -345,9 +444,21 @@ def _spelled(rows: DataFrame, table: DataFrame) -> DataFrame:
     """``rows`` with the words of ``phrase`` instead of their hashes."""
     needed = rows.select("*", F.posexplode("phrase").alias("place", "hash"))
     wanted = needed.select("hash").distinct()
+    # A chunk gives the words in the field only, so that few others are shuffled.
+    shared = table.sparkSession.sparkContext.broadcast(
+        _field(wanted.select(F.lit("").alias("lang"), F.array("hash").alias("phrase")))
+    )
+
+    def tasks(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            hashes, words = (pc.list_flatten(batch.column(c)) for c in ("hashes", "words"))
+            keys = hashes.to_numpy(False).view(np.uint64)
+            inside = pa.array(_inside(shared.value, _longer(np.full(len(keys), _start("")), keys)))
+            yield pa.RecordBatch.from_arrays([hashes.filter(inside), words.filter(inside)], ["hash", "word"])
+
     words = (
-        table.select(F.explode(F.arrays_zip("hashes", "words")).alias("w"))
-        .select(F.col("w.hashes").alias("hash"), F.col("w.words").alias("word"))
+        table.select("hashes", "words")
+        .mapInArrow(tasks, "hash long, word string")
         .join(wanted, "hash", "left_semi")
         .groupBy("hash")
         .agg(F.min("word").alias("word"))
@@ -397,9 +508,11 @@ def collocations(
         .where(F.col("f") >= least)
     )
     frequent = [written(words.select("lang", F.array("hash").alias("phrase"), "f"), "words")]
-    fields = []
+    places = table.agg(F.sum("size")).first()[0] or 0
+    group_bits = min((places // GROUP_PLACES).bit_length(), CELL_BITS - 1)
+    fields = [_field(frequent[0])]
     for _ in range(longest - 1):
-        fields.append(_field(frequent[-1]))
+        fields.append(_frequent_cells(table, fields, least, group_bits))
         frequent.append(_counted(table, fields, least))
 
     def union(tables: list[DataFrame]) -> DataFrame:

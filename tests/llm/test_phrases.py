@@ -155,3 +155,29 @@ def test_joins_shuffle_on_their_own_keys(spark, conf):
     plan = physical_plan(phrases._scored(table, table, 3, 100))
     join = plan[plan.index("SortMergeJoin") :]
     assert "HashAggregate" not in join and join.count("Exchange hashpartitioning") == 2
+
+
+def test_rare_phrases_of_frequent_words_are_not_spelled_out(spark):
+    """Pairs of 40 frequent words, nearly all of them rare: only the frequent one is a row."""
+    rng = np.random.default_rng(6)
+    rows = [("en", " ".join(["ab cd", *(f"w{i}" for i in rng.permutation(40))])) for _ in range(40)]
+    docs = spark.createDataFrame(rows, "lang string, text string").coalesce(1)
+    table = phrases.written(phrases.chunks(docs, 2000), "chunks")
+    field = np.full(1 << (phrases.FIELD_BITS - 6), ~np.uint64(0))
+    cells = phrases._frequent_cells(table, [field], 30, 3)
+    chunk = table.first()
+    ids, hashes = phrases.unpacked(chunk['size'], chunk.ids), np.array(chunk.hashes, np.int64)
+    everything, _ = phrases.count_phrases("en", hashes, ids, [field])
+    chosen, counts = phrases.count_phrases("en", hashes, ids, [field], cells)
+    words = dict(zip(hashes.view(np.uint64).tolist(), chunk.words))
+    assert [[words[h] for h in row] for row in chosen.tolist()] == [["ab", "cd"]]
+    assert len(everything) > 100 and counts[0] > 1
+
+
+@given(st.dictionaries(st.integers(0, 2**40 - 1), st.integers(1, 2**33)))
+@settings(max_examples=40, deadline=None)
+def test_packed_cells_come_back(cells):
+    values = np.array(sorted(cells), np.uint64)
+    counts = np.array([cells[v] for v in sorted(cells)], np.uint64)
+    a, b = phrases._unpacked(len(values), phrases._packed(values, counts))
+    assert np.array_equal(a, values) and np.array_equal(b, counts)
