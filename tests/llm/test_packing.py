@@ -8,6 +8,7 @@ from itertools import combinations
 import numpy as np
 import pytest
 
+from ringledger.llm import tokens
 from ringledger.llm.packing import best_cuts, pack
 from ringledger.llm.tokens import WordTokenizer, tokenizer_file
 from tests.llm.conftest import TEXTS
@@ -91,3 +92,26 @@ def test_odd_rows_and_names(odd_docs, no_docs):
     assert "ids" not in rows[0].asDict()
     assert sum(r["start"] == 0 for r in rows) == odd_docs.count()
     assert pack(no_docs, tokenizer_file()).collect() == []
+
+
+def test_common_words_outlast_a_full_vocabulary(monkeypatch):
+    monkeypatch.setattr(tokens, "FEW_WORDS", 500)
+    tokenizer, learned = WordTokenizer(tokenizer_file()), []
+    learn = tokenizer._learn
+    tokenizer._learn = lambda words: (learned.extend(words), learn(words))[1]
+    rng = random.Random(2)
+    for _ in range(12):
+        rare = ["".join(rng.choices("abcdeéß1-", k=9)) for _ in range(300)]
+        text = " ".join(["often, Again often again", *rare])
+        ids, bounds, _ = tokenizer.encode([text.encode(), b""])
+        assert ids.tolist() == tokenizer.tokenizer.encode(text, add_special_tokens=False).ids
+        assert bounds.tolist() == [0, len(ids), len(ids)]
+    assert learned.count(b"often") == learned.count(b"again") == 1
+
+
+def test_a_letter_that_is_split_changes_no_other_word():
+    tokenizer = WordTokenizer(tokenizer_file())
+    words = ["İx", "plain", "xİ", "ＡＢ", "naïve", "a̦b", "ǅ", "ſt"]
+    ids, bounds, _ = tokenizer.encode([word.encode() for word in words])
+    for word, a, b in zip(words, bounds, bounds[1:]):
+        assert ids[a:b].tolist() == tokenizer.tokenizer.encode(word, add_special_tokens=False).ids
