@@ -160,6 +160,7 @@ def pack(
                 stream.add(doc_id, np.r_[ids[a:b], np.uint32(END_ID)], inside - a)
                 if stream.size > CHUNK * window:
                     yield from _batches(stream.sequences_of(last=False))
+        tokenizer.clear()  # the worker lives on, and other tasks need the memory
         yield from _batches(stream.sequences_of(last=True))
 
     fields = [(name, pa.int64()) for name in _names()] + [("ids", pa.list_(pa.int32()))] * keep_ids

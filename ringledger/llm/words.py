@@ -19,8 +19,14 @@ FEW_WORDS = 1 << 18
 def slices(
     batches: Iterable[pa.RecordBatch], column: str, most: int = SLICE_BYTES
 ) -> Iterator[pa.RecordBatch]:
-    """Cut batches so that each has at most ``most`` bytes of text, or a single row."""
+    """Cut batches so that each has at most ``most`` bytes of text, or a single row.
+
+    What Arrow keeps of earlier batches goes back before the next one, and at the end: workers
+    outlive their tasks, and share an executor's memory with its JVM.
+    """
+    spare = pa.default_memory_pool().release_unused
     for batch in batches:
+        spare()
         if not batch.num_rows:
             continue
         sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(False)
@@ -30,6 +36,7 @@ def slices(
             stop = max(start + 1, int(np.searchsorted(ends, before + most, "right")))
             yield batch.slice(start, stop - start)
             start = stop
+    spare()
 
 
 def utf8(column: pa.Array) -> list[bytes]:

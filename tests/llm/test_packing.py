@@ -6,9 +6,10 @@ from collections import defaultdict
 from itertools import combinations
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
-from ringledger.llm import tokens
+from ringledger.llm import packing, tokens
 from ringledger.llm.packing import best_cuts, pack
 from ringledger.llm.tokens import WordTokenizer, tokenizer_file
 from tests.llm.conftest import TEXTS
@@ -115,3 +116,15 @@ def test_a_letter_that_is_split_changes_no_other_word():
     ids, bounds, _ = tokenizer.encode([word.encode() for word in words])
     for word, a, b in zip(words, bounds, bounds[1:]):
         assert ids[a:b].tolist() == tokenizer.tokenizer.encode(word, add_special_tokens=False).ids
+
+
+def test_workers_keep_no_words_of_ended_tasks(spark):
+    file = tokenizer_file()
+    rows = spark.createDataFrame([(i, f"some words number{i}") for i in range(40)], "doc_id long, text string")
+    pack(rows.repartition(4), file).collect()
+
+    def held(batches):
+        for _ in batches:
+            yield pa.RecordBatch.from_pydict({"n": [len(packing._tokenizer(file).vocabulary)]})
+
+    assert {r.n for r in rows.repartition(4).mapInArrow(held, "n long").collect()} == {0}
