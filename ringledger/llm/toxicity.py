@@ -1,8 +1,11 @@
 """Toxicity: gradient-boosted trees over dense features, with isotonic calibration.
 
 Every text becomes a short row of numbers: densities of the words of each lexicon, how near
-they stand to words that address the reader, shares of capitals and of marks, and rates of
-words spelled to slip past a lexicon. Trees of bounded depth are boosted on the logistic
+they stand to words that address the reader, shares of capitals and of marks, rates of
+words spelled to slip past a lexicon, and how much its words are those of toxic texts. For
+the latter, words and their beginnings are counted in the learned texts of both labels, and
+those kept that toxic texts have far more often than chance would have it: no list knows
+the abuse of every language. Trees of bounded depth are boosted on the logistic
 loss over binned features. Their log-odds are turned into probabilities by isotonic
 regression, fitted on predictions that each part of the sample gets from trees grown on the
 other parts. Features of all texts come from one pass in tasks; the trees are grown in numpy
@@ -14,10 +17,12 @@ from __future__ import annotations
 import re
 from collections.abc import Iterable, Iterator, Mapping
 from dataclasses import dataclass, field
+from itertools import chain
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -39,6 +44,11 @@ PARTS = 3
 #: Weight of the uncalibrated probability in a score, so that texts within one step of the
 #: calibration keep their order.
 REST = 1e-3
+#: How many beginnings of a word count as terms, in letters, besides the whole word.
+BEGINNINGS = (3, 4, 5, 6)
+#: Terms must be in so many toxic texts, and pass a likelihood ratio test at this value; the
+#: best TERMS are kept.
+LEAST_TEXTS, LEAST_RATIO, TERMS = 10, 30.0, 1 << 14
 #: Words between a lexicon word and a word of address that still counts as near.
 NEAR = 5
 
@@ -90,17 +100,94 @@ _BYTES = {
 def feature_names(lexicons: Mapping[str, tuple[str, ...]] = LEXICONS) -> list[str]:
     return [
         "log_words", *lexicons, "any", "log_hits", "distinct_hits", "densest", "near_second",
-        "closeness", *_SHAPES, "spelled_out", *_BYTES, "repeated_marks",
+        "closeness", *_SHAPES, "spelled_out", *_BYTES, "repeated_marks", "learned", "learned_weight",
     ]
 
 
+# Terms.
+
+
+def _terms_of(raw: bytes) -> list[int]:
+    """Hashes of the beginnings of a word and of the whole, in lower case without its marks."""
+    bare = _EDGES.sub("", raw.decode("utf-8", "replace")).lower()
+    parts = [bare[:n] for n in BEGINNINGS if n <= len(bare)]
+    return [xxhash.xxh64_intdigest(x) for x in (*parts, f"{bare} ")] if bare else []
+
+
+@dataclass
+class Terms:
+    """Sorted hashes of terms, and how much oftener toxic texts have each, in logs."""
+
+    keys: np.ndarray = field(default_factory=lambda: np.zeros(0, np.uint64))
+    weights: np.ndarray = field(default_factory=lambda: np.zeros(0))
+
+    def of(self, words: list[bytes]) -> np.ndarray:
+        """The weight of each word: that of its weightiest term, or 0."""
+        out = np.zeros(len(words))
+        if not len(self.keys):
+            return out
+        terms = [_terms_of(word) for word in words]
+        hashes = np.fromiter(chain.from_iterable(terms), np.uint64)
+        at = np.minimum(np.searchsorted(self.keys, hashes), len(self.keys) - 1)
+        found = np.where(self.keys[at] == hashes, self.weights[at], 0.0)
+        np.maximum.at(out, np.repeat(np.arange(len(words)), list(map(len, terms))), found)
+        return out
+
+
+def learned_terms(rows: DataFrame) -> Terms:
+    """The terms of toxic texts, from ``text`` and ``label`` (0 or 1) of ``rows``."""
+
+    def tasks(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vocabulary, terms = Vocabulary(), []
+        for batch in slices(batches, "text"):
+            if vocabulary.full:
+                vocabulary, terms = Vocabulary(), []
+            ids, starts = vocabulary.number(utf8(batch.column("text")))
+            terms += [np.array(_terms_of(word), np.uint64) for word in vocabulary.words[len(terms) :]]
+            label = batch.column("label").to_numpy(False)
+            found = [
+                np.unique(np.concatenate([terms[i] for i in np.unique(ids[a:b]).tolist()]))
+                if b > a else np.zeros(0, np.uint64)
+                for a, b in zip(starts[:-1], starts[1:])
+            ]
+            toxic = np.repeat(label, list(map(len, found)))
+            keys, at = np.unique(np.concatenate(found), return_inverse=True)
+            columns = [keys.view(np.int64)]
+            columns += [np.bincount(at[toxic == y], minlength=len(keys)) for y in (1, 0)]
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], ["term", "a", "b"])
+
+    texts = rows.agg(F.sum("label").alias("n1"), F.sum(1 - F.col("label")).alias("n0")).first()
+    if not texts["n1"] or not texts["n0"]:
+        return Terms()
+    counts = (
+        rows.select("text", F.col("label").cast("int").alias("label"))
+        .mapInArrow(tasks, "term long, a long, b long")
+        .groupBy("term")
+        .agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
+        .where(F.col("a") >= LEAST_TEXTS)
+    )
+    share = texts["n1"] / (texts["n1"] + texts["n0"])
+    a, b, both = F.col("a"), F.col("b"), F.col("a") + F.col("b")
+    ratio = 2 * (a * F.log(a / (both * share)) + F.when(b > 0, b * F.log(b / (both * (1 - share)))).otherwise(0))
+    weight = F.log((a + 0.5) / (texts["n1"] + 1) * (texts["n0"] + 1) / (b + 0.5))
+    chosen = counts.select("term", weight.alias("weight"), ratio.alias("ratio"))
+    chosen = chosen.where((F.col("weight") > 0) & (F.col("ratio") >= LEAST_RATIO))
+    best = chosen.orderBy(F.desc("ratio"), "term").limit(TERMS).toPandas()
+    keys = best["term"].to_numpy(np.int64).view(np.uint64)
+    order = np.argsort(keys)
+    return Terms(keys[order], best["weight"].to_numpy(np.float64)[order])
+
+
 # Features.
 
 
 class Features:
     """Numbers of whole texts. What a word is, is found once for each distinct word."""
 
-    def __init__(self, lexicons: Mapping[str, tuple[str, ...]] = LEXICONS) -> None:
+    def __init__(
+        self, lexicons: Mapping[str, tuple[str, ...]] = LEXICONS, terms: Terms | None = None
+    ) -> None:
+        self.terms = terms or Terms()
         self.names, self.kinds = feature_names(lexicons), list(lexicons)
         self.lexicon = {word: i for i, kind in enumerate(lexicons) for word in lexicons[kind]}
         self.classes = np.zeros((256, len(_BYTES)))
@@ -113,6 +200,7 @@ class Features:
         self.kind = np.zeros(0, np.int8)  # of the lexicon, or -1
         self.term = np.zeros(0, np.int32)  # which word of the lexicons, or -1
         self.shapes = np.zeros((0, len(_SHAPES)), bool)
+        self.weight = np.zeros(0)  # of the learned terms, or 0
 
     def _learn(self, words: list[bytes]) -> None:
         kind, term = np.full(len(words), -1, np.int8), np.full(len(words), -1, np.int32)
@@ -135,6 +223,7 @@ class Features:
             shapes[i, 5] = len(bare) == 1 and bare.isalpha()
         self.kind, self.term = np.r_[self.kind, kind], np.r_[self.term, term]
         self.shapes = np.r_[self.shapes, shapes]
+        self.weight = np.r_[self.weight, self.terms.of(words)]
 
     def of(self, texts: list[bytes]) -> np.ndarray:
         """A row for each text; a text without words has zeros but for its marks."""
@@ -170,6 +259,10 @@ class Features:
         for name, values in zip(_BYTES, (marks @ self.classes / sizes[:, None]).T):
             out[name] = values
         out["repeated_marks"] = np.array([t.count(b"!!") + t.count(b"??") for t in texts]) / some
+        weight = self.weight[ids]
+        out["learned"] = sums_between(weight > 0, starts) / some
+        # In steps of 2**-20 the sums are exact, so a text's doesn't depend on others.
+        out["learned_weight"] = sums_between(np.rint(weight * 2**20).astype(np.int64), starts) / some / 2**20
         return np.stack([out[name] for name in self.names], axis=1).astype(np.float32)
 
 
@@ -212,12 +305,12 @@ def _gaps(places: np.ndarray, others: np.ndarray, text: np.ndarray) -> np.ndarra
 
 
 def with_features(
-    docs: DataFrame, lexicons: Mapping[str, tuple[str, ...]] = LEXICONS
+    docs: DataFrame, lexicons: Mapping[str, tuple[str, ...]] = LEXICONS, terms: Terms | None = None
 ) -> DataFrame:
     """``row`` and ``features`` from ``row`` and ``text``."""
 
     def tasks(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        features = Features(lexicons)
+        features = Features(lexicons, terms)
         for batch in slices(batches, "text"):
             values = features.of(utf8(batch.column("text")))
             offsets = pa.array(np.arange(len(values) + 1) * values.shape[1], pa.int32())
@@ -380,8 +473,9 @@ def classify(
     """``docs`` without the text, plus ``held_out``, ``score`` and ``predicted``.
 
     ``score`` is the chance that a text is toxic, ``predicted`` is 1 from ``threshold`` on.
-    Learns from labels 0 and 1 of documents that are not held out; other labels and null
-    ids are skipped, and a document with several labels counts with each. Null and empty
+    Learns from labels 0 and 1 of documents that are not held out, terms and trees each from
+    ``max_rows`` of them; other labels and null ids are skipped, and a document with several
+    labels counts with each. Null and empty
     texts get the score that such features have, long texts count whole. Without labels
     every score is one half, and an empty table gives an empty table. Rows count by
     themselves, also where ids or rows repeat; equal texts score alike. Columns of ``docs``
@@ -390,14 +484,18 @@ def classify(
     new = ["held_out", "score", "predicted"]
     passed = Passed(docs, [c for c in docs.columns if c not in (text_column, *new)])
     rows = docs.select(passed.struct, docs[text_column].alias("text"))
-    table = written(with_features(rows, lexicons), "features")
     key = passed.get(id_column)
     held_out = in_fold(key, FOLDS, HELD_OUT_FOLD)
     known = labels.select(labels[id_column].alias("id"), labels[label_column].alias("label"))
+    known = known.where("label in (0, 1)")
+    read = known.where(~in_fold(F.col("id"), FOLDS, HELD_OUT_FOLD) & F.col("id").isNotNull())
+    read = F.broadcast(written(labelled_sample(read, F.col("id"), max_rows), "labels"))  # max_rows at most
+    terms = learned_terms(rows.select(key.alias("id"), "text").join(read, "id").select("text", "label"))
+    table = written(with_features(rows, lexicons, terms), "features")
     learned = (
         table.where(~held_out)
         .select(key.alias("id"), "features")
-        .join(known.where("label in (0, 1)"), "id")
+        .join(known, "id")
         .select("id", "label", "features", F.pmod(F.xxhash64("id", F.lit(1)), F.lit(PARTS)).alias("part"))
     )
     sample = labelled_sample(learned, F.col("id"), max_rows).toPandas()

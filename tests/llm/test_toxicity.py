@@ -178,3 +178,23 @@ def test_odd_rows_and_names(spark, odd_docs, no_docs):
     assert all(0 <= r["score"] <= 1 for r in rows)
     assert classify(no_docs, labels).collect() == []
     assert {r["score"] for r in classify(odd_docs, labels.limit(0)).collect()} == {0.5}
+
+
+def test_words_that_no_lexicon_has_are_learned(spark):
+    rng = np.random.default_rng(9)
+    parts = ["lo", "mer", "tan", "vi", "dus", "kel", "po", "zai"]
+
+    def word():
+        return "".join(rng.choice(parts, 3))
+
+    rows, labels = [], []
+    for i in range(400):
+        words = [word() for _ in range(60)]
+        if i % 5 == 0:
+            words[7], words[30] = "Grumpf" + word(), "grumpf" + word()
+        rows.append((i, " ".join(words)))
+        labels.append((i, int(i % 5 == 0)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    known = spark.createDataFrame(labels, "doc_id long, toxic int")
+    for row in classify(docs, known).where("held_out").collect():
+        assert row.predicted == (row.doc_id % 5 == 0), row
