@@ -11,14 +11,14 @@ pairs is cut into square tiles. Tiles with many entries are counted in place, on
 ``bincount`` each; the entries of all others are sorted together and counted as
 coordinates.
 
-Nearly all phrases of a chunk are rare in the corpus. So the counts are first added up by
-cell, a part of the phrase's hash: chunks give them in order and packed, a few bytes for each
-phrase. Only phrases whose cell reaches the least count are then spelled out, and Spark adds
-up their counts and keeps what reaches it.
-
-Which words and cells are frequent reaches the tasks as a bit field of fixed size. Neither
-loses a frequent phrase. Both let some rare ones pass, which costs rows and changes no result:
-the sums decide. A phrase is known by the 64-bit hashes of its words.
+Nearly all phrases of a chunk are rare in the corpus. So the counts are added up by key, the
+phrase's hash: chunks give keys in order and packed, a few bytes for each phrase. A frequent
+phrase is then spelled out by one of the chunks that hold it, its owner, and joined to its sum.
+
+Which phrases are frequent, and which of them a chunk owns, reaches the tasks as bit fields of
+fixed size. They lose no frequent phrase. They let some rare ones pass, or a second chunk's
+copy, which costs rows and changes no result: the sums decide. A word is known by a 64-bit
+hash, a phrase by one of these and its language.
 """
 
 from __future__ import annotations
@@ -48,9 +48,7 @@ TILE_BITS = 8
 DENSE = 1 << (2 * TILE_BITS - 4)
 #: The bit field: its size, and bits set for a phrase.
 FIELD_BITS, FIELD_HASHES = 26, 3
-#: Leading bits of a phrase's key that say its cell.
-CELL_BITS = 40
-#: Places of the corpus for each group of cells, which bounds what a group's task holds.
+#: Places of the corpus for each group of keys, which bounds what a group's task holds.
 GROUP_PLACES = 2 << 20
 #: Groups that a language's candidates are dealt to before the last ranking.
 SALTS = 32
@@ -146,14 +144,23 @@ def _longer(keys: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     return mix(keys ^ hashes)
 
 
-def _cells(keys: np.ndarray) -> np.ndarray:
-    return keys >> np.uint64(64 - CELL_BITS)
+def _keys(starts: np.ndarray, words: np.ndarray) -> np.ndarray:
+    """Keys of phrases, rows of the hashes of their words, in languages with these starts."""
+    keys = starts
+    for column in words.T:
+        keys = _longer(keys, column)
+    return keys
+
+
+def _owned(keys: np.ndarray, chunks: np.ndarray | np.uint64) -> np.ndarray:
+    """Keys that say that a chunk owns a phrase."""
+    return mix(keys ^ chunks)
 
 
 def _places(keys: np.ndarray) -> np.ndarray:
-    """Bits of each key in the field, a row for each; keys of a cell have the same."""
+    """Bits of each key in the field, a row for each."""
     turns = np.arange(1, FIELD_HASHES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-    return mix(_cells(keys)[:, None] + turns) >> np.uint64(64 - FIELD_BITS)
+    return mix(keys[:, None] + turns) >> np.uint64(64 - FIELD_BITS)
 
 
 def _bits(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -179,10 +186,8 @@ def _field(frequent: DataFrame) -> np.ndarray:
             words = pc.list_flatten(phrases).to_numpy(False).view(np.uint64)
             words = words.reshape(batch.num_rows, -1) if batch.num_rows else words.reshape(0, 1)
             starts = {x: _start(x) for x in batch.column("lang").unique().to_pylist()}
-            keys = np.array([starts[x] for x in batch.column("lang").to_pylist()], np.uint64)
-            for column in words.T:
-                keys = _longer(keys, column)
-            yield _bit_rows(keys)
+            first = np.array([starts[x] for x in batch.column("lang").to_pylist()], np.uint64)
+            yield _bit_rows(_keys(first, words))
 
     return _gathered(frequent.select("lang", "phrase").mapInArrow(tasks, "place long, bits long"))
 
@@ -246,35 +251,52 @@ def count_pairs(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray, n
 
 
 def count_phrases(
-    lang: str, hashes: np.ndarray, ids: np.ndarray, fields: list[np.ndarray], last: np.ndarray | None = None
+    lang: str,
+    hashes: np.ndarray,
+    ids: np.ndarray,
+    fields: list[np.ndarray],
+    last: np.ndarray | None = None,
+    chunk: np.uint64 | None = None,
 ) -> tuple[np.ndarray, np.ndarray]:
     """Phrases of a chunk one word longer than there are fields: rows of hashes, and counts.
 
     Only phrases are counted whose shorter parts are all in their field, and which are
-    in ``last`` themselves.
+    in ``last`` themselves: as this ``chunk``'s own, if it is given.
     """
     phrases, hashes, keys, a, b, counts = _grown(lang, hashes, ids, fields)
     if last is not None:
-        chosen = _inside(last, keys)
+        chosen = _inside(last, keys if chunk is None else _owned(keys, chunk))
         a, b, counts = a[chosen], b[chosen], counts[chosen]
     # In order of their beginnings, which then repeat and compress well.
     order = np.argsort(a * len(hashes) + b)
     return np.c_[phrases[a[order]], hashes[b[order]]], counts[order]
 
 
-def count_cells(
+def count_keys(
     lang: str, hashes: np.ndarray, ids: np.ndarray, fields: list[np.ndarray]
 ) -> tuple[np.ndarray, np.ndarray]:
-    """Cells of the phrases that ``count_phrases`` counts, in order, and counts."""
+    """Keys of the phrases that ``count_phrases`` counts, in order, and counts."""
     _, _, keys, _, _, counts = _grown(lang, hashes, ids, fields)
-    return _summed(_cells(keys), counts)
+    order = np.argsort(keys)
+    return keys[order], counts[order].astype(np.uint64)
 
 
-def _summed(cells: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    order = np.argsort(cells, kind="stable")
-    cells, counts = cells[order], counts[order].astype(np.uint64)
-    first = np.flatnonzero(np.r_[True, cells[1:] != cells[:-1]]) if len(cells) else np.zeros(0, np.int64)
-    return cells[first], np.add.reduceat(counts, first) if len(first) else counts
+def _frequent_sums(
+    keys: np.ndarray, counts: np.ndarray, least: int
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct keys whose counts add up to ``least``, the sums, and for each one of its entries.
+
+    The entry is any of those of the key, by its value, so that many keys spread over all.
+    """
+    order = np.argsort(keys, kind="stable")
+    keys = keys[order]
+    first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
+    sums = np.add.reduceat(counts[order], first)
+    entries = np.diff(np.r_[first, len(keys)])
+    often = sums >= least
+    found = keys[first[often]]
+    entry = first[often] + (found % entries[often].astype(np.uint64)).astype(np.int64)
+    return found, sums[often], order[entry]
 
 
 def _grown(lang: str, hashes: np.ndarray, ids: np.ndarray, fields: list[np.ndarray]):
@@ -317,73 +339,105 @@ def _unpacked(size: int, packed: bytes) -> tuple[np.ndarray, np.ndarray]:
     return np.cumsum(both[:size], dtype=np.uint64), both[size:]
 
 
-def _frequent_cells(table: DataFrame, fields: list[np.ndarray], least: int, group_bits: int) -> np.ndarray:
-    """The bit field of the cells that phrases one word longer than there are fields fill.
+def _sums(table: DataFrame, fields: list[np.ndarray], least: int, group_bits: int) -> DataFrame:
+    """``key, f, owner`` of the frequent phrases one word longer than there are fields.
 
-    Cells are summed in groups by their leading ``group_bits``.
+    Keys are summed in groups by their leading ``group_bits``. The owner is a chunk that holds
+    the phrase.
     """
     shared = table.sparkSession.sparkContext.broadcast(fields)
-    below = np.uint64(CELL_BITS - group_bits)
+    below = np.uint64(64 - group_bits)
 
     def tasks(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lang, hashes, ids in _of_chunks(batch):
-                cells, counts = count_cells(lang, hashes, ids, shared.value)
-                groups, first = np.unique(cells >> below, return_index=True)
-                bounds = [*first.tolist(), len(cells)]
+            for chunk, lang, hashes, ids in _of_chunks(batch):
+                keys, counts = count_keys(lang, hashes, ids, shared.value)
+                groups, first = np.unique(keys >> below, return_index=True)
+                bounds = [*first.tolist(), len(keys)]
                 packed = [
-                    _packed(cells[i:j] - (group << below), counts[i:j])
+                    _packed(keys[i:j] - (group << below), counts[i:j])
                     for group, i, j in zip(groups, bounds, bounds[1:])
                 ]
-                arrays = [groups.astype(np.int64), np.diff(bounds), pa.array(packed, pa.binary())]
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in arrays], ["part", "size", "packed"])
+                arrays = [groups.astype(np.int64), np.full(len(groups), chunk).view(np.int64), np.diff(bounds)]
+                yield pa.RecordBatch.from_arrays(
+                    [*map(pa.array, arrays), pa.array(packed, pa.binary())], ["part", "chunk", "size", "packed"]
+                )
 
     def merged(key: tuple, rows: pa.Table) -> pa.Table:
-        parts = zip(rows["size"].to_pylist(), rows["packed"].to_pylist())
-        cells, counts = (np.concatenate(x) for x in zip(*(_unpacked(*part) for part in parts)))
-        cells, counts = _summed(cells, counts)
-        full = cells[counts >= least] + (np.uint64(key[0].as_py()) << below)
-        return pa.Table.from_batches([_bit_rows(full << np.uint64(64 - CELL_BITS))])
+        sizes = rows["size"].to_numpy()
+        parts = zip(sizes.tolist(), rows["packed"].to_pylist())
+        keys, counts = (np.concatenate(x) for x in zip(*(_unpacked(*part) for part in parts)))
+        keys, sums, entry = _frequent_sums(keys, counts, least)
+        keys = keys + (np.uint64(key[0].as_py()) << below)
+        owner = rows["chunk"].to_numpy()[np.searchsorted(np.cumsum(sizes), entry, "right")]
+        arrays = [pa.array(x) for x in (keys.view(np.int64), sums.astype(np.int64), owner)]
+        return pa.Table.from_arrays(arrays, ["key", "f", "owner"])
 
-    parts = _chunk_ids(table).mapInArrow(tasks, "part long, size long, packed binary")
-    return _gathered(parts.groupBy("part").applyInArrow(merged, "place long, bits long"))
+    parts = _chunk_ids(table).mapInArrow(tasks, "part long, chunk long, size long, packed binary")
+    return written(parts.groupBy("part").applyInArrow(merged, "key long, f long, owner long"), "sums")
+
+
+def _sums_field(sums: DataFrame, owned: bool = False) -> np.ndarray:
+    """The bit field of the keys of ``sums``, or of who owns them."""
+
+    def tasks(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys, owners = (batch.column(c).to_numpy().view(np.uint64) for c in ("key", "owner"))
+            yield _bit_rows(_owned(keys, owners) if owned else keys)
+
+    return _gathered(sums.select("key", "owner").mapInArrow(tasks, "place long, bits long"))
+
+
+def _frequent_cells(table: DataFrame, fields: list[np.ndarray], least: int, group_bits: int) -> np.ndarray:
+    """The bit field of the frequent phrases one word longer than there are fields."""
+    return _sums_field(_sums(table, fields, least, group_bits))
 
 
 def _chunk_ids(table: DataFrame) -> DataFrame:
     return table.select("lang", "hashes", "size", "ids")
 
 
-def _of_chunks(batch: pa.RecordBatch) -> Iterator[tuple[str, np.ndarray, np.ndarray]]:
-    """``lang``, ``hashes`` and unpacked ``ids`` of each chunk."""
+def _of_chunks(batch: pa.RecordBatch) -> Iterator[tuple[np.uint64, str, np.ndarray, np.ndarray]]:
+    """Each chunk's number, ``lang``, ``hashes`` and unpacked ``ids``.
+
+    The number is a hash of the ids, so equal chunks may share one.
+    """
     for i in range(batch.num_rows):
         hashes = batch.column("hashes")[i].values.to_numpy()
-        ids = unpacked(*(batch.column(c)[i].as_py() for c in ("size", "ids")))
-        yield batch.column("lang")[i].as_py(), hashes, ids
+        size, packed = (batch.column(c)[i].as_py() for c in ("size", "ids"))
+        number = np.uint64(xxhash.xxh64_intdigest(packed))
+        yield number, batch.column("lang")[i].as_py(), hashes, unpacked(size, packed)
 
 
-def _counted(table: DataFrame, fields: list[np.ndarray], least: int) -> DataFrame:
-    """``lang, phrase, f`` of the frequent phrases of as many words as there are fields."""
-    shared = table.sparkSession.sparkContext.broadcast(fields)
-    names = [f"h{i}" for i in range(len(fields))]
+def _owned_phrases(table: DataFrame, fields: list[np.ndarray], owners: np.ndarray) -> DataFrame:
+    """``lang, key`` and the words' hashes ``h0, h1, ...`` of phrases, each from its owner."""
+    shared = table.sparkSession.sparkContext.broadcast((fields, owners))
+    names = [f"h{i}" for i in range(len(fields) + 1)]
 
     def tasks(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fields, owners = shared.value
         for batch in batches:
-            for lang, hashes, ids in _of_chunks(batch):
-                rows, counts = count_phrases(lang, hashes, ids, shared.value[:-1], shared.value[-1])
+            for chunk, lang, hashes, ids in _of_chunks(batch):
+                rows, _ = count_phrases(lang, hashes, ids, fields, owners, chunk)
                 for start in range(0, len(rows), 1 << 17):
-                    part = rows[start : start + (1 << 17)].view(np.int64)
-                    arrays = [pa.array(np.ascontiguousarray(c)) for c in part.T]
-                    arrays.append(pa.array(counts[start : start + (1 << 17)].astype(np.int64)))
+                    part = rows[start : start + (1 << 17)]
+                    keys = _keys(np.full(len(part), _start(lang)), part)
+                    longs = [np.ascontiguousarray(x).view(np.int64) for x in (keys, *part.T)]
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array([lang] * len(part)), *arrays], ["lang", *names, "n"]
+                        [pa.array([lang] * len(part)), *map(pa.array, longs)], ["lang", "key", *names]
                     )
 
-    kinds = f"lang string, {', '.join(f'{n} long' for n in names)}, n long"
-    parts = _chunk_ids(table).mapInArrow(tasks, kinds)
-    # A chunk has each phrase once, so a second sum before the shuffle would find nothing.
-    dealt = parts.repartition("lang", *names)
-    sums = dealt.groupBy("lang", *names).agg(F.sum("n").alias("f")).where(F.col("f") >= least)
-    return written(sums.select("lang", F.array(*names).alias("phrase"), "f"), "phrases")
+    kinds = f"lang string, key long, {', '.join(f'{n} long' for n in names)}"
+    return _chunk_ids(table).mapInArrow(tasks, kinds)
+
+
+def _counted(table: DataFrame, fields: list[np.ndarray], sums: DataFrame) -> DataFrame:
+    """``lang, phrase, f`` of the phrases of ``sums``, one word longer than there are fields."""
+    found = _owned_phrases(table, fields, _sums_field(sums, owned=True))
+    names = found.columns[2:]
+    # The field may let a second chunk give a phrase.
+    each = sums.select("key", "f").join(found, "key").distinct()
+    return written(each.select("lang", F.array(*names).alias("phrase"), "f"), "phrases")
 
 
 # Scores.
@@ -509,11 +563,13 @@ def collocations(
     )
     frequent = [written(words.select("lang", F.array("hash").alias("phrase"), "f"), "words")]
     places = table.agg(F.sum("size")).first()[0] or 0
-    group_bits = min((places // GROUP_PLACES).bit_length(), CELL_BITS - 1)
+    group_bits = max(1, (places // GROUP_PLACES).bit_length())
     fields = [_field(frequent[0])]
-    for _ in range(longest - 1):
-        fields.append(_frequent_cells(table, fields, least, group_bits))
-        frequent.append(_counted(table, fields, least))
+    for length in range(2, longest + 1):
+        sums = _sums(table, fields, least, group_bits)
+        frequent.append(_counted(table, fields, sums))
+        if length < longest:
+            fields.append(_sums_field(sums))
 
     def union(tables: list[DataFrame]) -> DataFrame:
         out = tables[0]

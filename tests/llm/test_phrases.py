@@ -181,3 +181,44 @@ def test_packed_cells_come_back(cells):
     counts = np.array([cells[v] for v in sorted(cells)], np.uint64)
     a, b = phrases._unpacked(len(values), phrases._packed(values, counts))
     assert np.array_equal(a, values) and np.array_equal(b, counts)
+
+
+def test_a_frequent_phrase_is_a_row_of_one_chunk_only(spark, conf):
+    """Every chunk has the same frequent phrases, in an order of its own."""
+    conf("spark.sql.execution.arrow.maxRecordsPerBatch", "2")
+    rng = np.random.default_rng(8)
+    names = [f"p{i} q{i} r{i}" for i in range(50)]
+    rows = [("en", ". ".join(names[i] for i in rng.permutation(50))) for _ in range(80)]
+    docs = spark.createDataFrame(rows, "lang string, text string").coalesce(2)
+    table = phrases.written(phrases.chunks(docs, 500), "chunks")
+    assert table.count() == 40
+    full = np.full(1 << (phrases.FIELD_BITS - 6), ~np.uint64(0))
+    for words, fields in ((2, [full]), (3, [full, full])):
+        sums = phrases._sums(table, fields, 30, 3)
+        given = phrases._owned_phrases(table, fields, phrases._sums_field(sums, owned=True))
+        assert given.count() == sums.count() == 50 * (4 - words)
+        counted = phrases._counted(table, fields, sums).collect()
+        assert {(len(r.phrase), r.f) for r in counted} == {(words, 80)} and len(counted) == 50 * (4 - words)
+    owners = Counter(r.owner for r in sums.collect())
+    assert len(owners) > 10, owners
+
+
+def test_equal_chunks_give_a_phrase_once(spark, conf):
+    conf("spark.sql.execution.arrow.maxRecordsPerBatch", "3")
+    rows = [("en", "a b c d"), ("de", "a b c d"), ("de", "w x y z")] * 40
+    docs = spark.createDataFrame(rows, "lang string, text string").coalesce(1)
+    got = collocations(docs, chunk_bytes=1)
+    assert found(got) == brute_force(rows) and len(found(got)) == 3
+
+
+@given(st.lists(st.tuples(st.integers(0, 9), st.integers(1, 2**40)), min_size=1, max_size=60))
+@settings(max_examples=60, deadline=None)
+def test_frequent_sums_and_one_of_their_entries(entries):
+    keys = np.array([k for k, _ in entries], np.uint64)
+    counts = np.array([n for _, n in entries], np.uint64)
+    total = Counter()
+    for key, n in entries:
+        total[key] += n
+    found_, sums, entry = phrases._frequent_sums(keys, counts, 2**40)
+    assert dict(zip(found_.tolist(), sums.tolist())) == {k: n for k, n in total.items() if n >= 2**40}
+    assert keys[entry].tolist() == found_.tolist()
